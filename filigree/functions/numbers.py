@@ -29,4 +29,4 @@ def ratio(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def with_unit(value: Column, unit: str) -> Column:
     """Report text such as ``12.5M``."""
-    return F.concat(F.format_string("%.2f", value.cast("double")), F.lit(unit))
+    return F.concat(F.format_string("%.2f", round_half_away(value, 2)), F.lit(unit))
