@@ -79,7 +79,8 @@ def _(t):
         F.lit("USD").alias("local_currency"),
     )
     banner = [(a, b, *[None] * 6) for a, b in (("Fund Name:", "A fund"), ("Holdings:", "As of 15-Oct-2025"), ("Name", "Ticker"), ("Cash", "-"))]
-    sheet = rows.unionByName(t.spark.createDataFrame(banner, rows.schema))
+    cells = ", ".join(f"{c} string" for c in rows.columns)
+    sheet = rows.unionByName(t.spark.createDataFrame(banner, cells))
     path = fresh_path(t.spark, "sheet")
     sheet.write.csv(path, header=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return r.read_holdings(t.spark, path).select("company_name", "ticker", "sector", "weight_pct", "shares_held")
