@@ -12,7 +12,7 @@ from filigree.plans import checks as k
 from filigree.plans import sampling as s
 from filigree.plans.features import FLAG_COLUMNS, add_flags
 from filigree.plans.subsets import Subset, run_subsets
-from filigree.session import fresh_path
+from filigree.session import cut_lineage, fresh_path
 from filigree.sources.fixture_sql import SENTENCES, bin_case, on_sentences, with_views
 from filigree.sources.fixtures import THREE
 from filigree.catalog.sampling import joined_sample
@@ -134,7 +134,7 @@ WHERE = {
 def subset_tables(t):
     method = F.when(F.col("report_year") >= 2000, "incremental_inject").otherwise("stratified_sampling")
     fact = t.sentences.withColumns({"temporal_bin": temporal_bin(F.col("report_year"), THREE), "load_method": method})
-    return run_subsets(fact, {"chosen": company_keys(t)}, SUBSETS, fresh_path(t.spark, "subsets"), THREE)
+    return run_subsets(cut_lineage(fact), {"chosen": company_keys(t)}, SUBSETS, fresh_path(t.spark, "subsets"), THREE)
 
 
 @catalog.query(

@@ -85,3 +85,8 @@ def upper_strings_where(df: DataFrame, condition: Column) -> DataFrame:
             for c in df.columns
         ]
     )
+
+
+def distinct_texts(df: DataFrame, by: str, text: str) -> DataFrame:
+    """Each different text of a group once, with its number of ``copies``."""
+    return df.filter(F.col(text).isNotNull()).groupBy(by, text).agg(F.count(F.lit(1)).alias("copies"))

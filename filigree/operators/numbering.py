@@ -20,8 +20,8 @@ def global_row_number(
 
     The table is range-partitioned on the order, so every task sorts one range; the
     numbers of a range start where the ranges before it end. The range boundaries
-    come from sampling and may differ between two evaluations, hence the checkpoint
-    between placing rows and counting them. Rows tied on the whole order are spread
+    come from sampling and may differ between two evaluations, hence the rows are
+    written once between placing and counting them. Rows tied on the whole order are spread
     over ranges by their input position, so a large group of copies is split too.
     """
     spark = df.sparkSession

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from filigree.functions.numbers import round_half_away
 from filigree.functions.ordering import replay_hash
-from filigree.functions.text import ngrams, tokens
+from filigree.functions.text import distinct_texts, ngrams, tokens
 from filigree.operators.windows import top_per_group
 
 # Label hints in the order in which they are tried.
@@ -31,8 +31,7 @@ def sample_per_group(df: DataFrame, by: str, text: str, n: int, seed: int) -> Da
 
 def term_counts(df: DataFrame, by: str, text: str, sizes: Sequence[int] = (1, 2)) -> DataFrame:
     """(group, document, copies, ngram, tf), with equal texts of a group as one document with copies."""
-    documents = df.filter(F.col(text).isNotNull()).groupBy(by, text).agg(F.count(F.lit(1)).alias("copies"))
-    words = documents.select(by, "copies", F.md5(text).alias("doc"), tokens(F.col(text)).alias("words"))
+    words = distinct_texts(df, by, text).select(by, "copies", F.md5(text).alias("doc"), tokens(F.col(text)).alias("words"))
     grams = F.concat(*[ngrams(F.col("words"), n) for n in sizes])
     return (
         words.select(by, "doc", "copies", F.explode(grams).alias("ngram"))

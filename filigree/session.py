@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -53,7 +53,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/filigree/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Write ``df`` to the reliable checkpoint folder and read it back."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    What follows no longer depends on the executors that computed it, reads only
+    the columns it needs, and plans with the table's real size.
+    """
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
