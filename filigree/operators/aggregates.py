@@ -11,11 +11,9 @@ from filigree.functions.numbers import percent, round_half_away
 
 
 def quantiles(value: str, points: dict[str, float], digits: int = 6) -> list[Column]:
-    """Exact interpolated percentiles as named columns."""
-    return [
-        round_half_away(F.percentile(F.col(value).cast("double"), F.lit(p)), digits).alias(name)
-        for name, p in points.items()
-    ]
+    """Exact interpolated percentiles as named columns, all from one aggregate."""
+    found = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in points.values()]))
+    return [round_half_away(found[i], digits).alias(name) for i, name in enumerate(points)]
 
 
 def value_at_max(value: str, by: str) -> Column:

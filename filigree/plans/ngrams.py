@@ -29,14 +29,11 @@ def sample_per_group(df: DataFrame, by: str, text: str, n: int, seed: int) -> Da
     return top_per_group(hashed, [by], ["_h", text], n, "_rn").drop("_h", "_rn")
 
 
-def term_counts(df: DataFrame, by: str, text: str, sizes: Sequence[int] = (1, 2)) -> DataFrame:
-    """(group, document, copies, ngram, tf), with equal texts of a group as one document with copies."""
-    words = distinct_texts(df, by, text).select(by, "copies", F.md5(text).alias("doc"), tokens(F.col(text)).alias("words"))
-    grams = F.concat(*[ngrams(F.col("words"), n) for n in sizes])
-    return (
-        words.select(by, "doc", "copies", F.explode(grams).alias("ngram"))
-        .groupBy(by, "doc", "copies", "ngram")
-        .agg(F.count(F.lit(1)).alias("tf"))
+def document_words(df: DataFrame, by: str, text: str) -> DataFrame:
+    """(group, document, copies, words), with equal texts of a group as one document with copies."""
+    # Tokens are a column of their own, so that they are found once and not once per n-gram.
+    return distinct_texts(df, by, text).select(
+        by, "copies", F.unhex(F.md5(text)).alias("doc"), tokens(F.col(text)).alias("words")
     )
 
 
@@ -52,15 +49,25 @@ def top_ngrams(
     """
     if sample is not None:
         df = sample_per_group(df, by, text, sample, seed)
-    counts = term_counts(df, by, text, sizes)
-    group_size = df.filter(F.col(text).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    # Document frequency is summed per task before the shuffle; a frequent n-gram is one
-    # short row per task here, and the join below is split when its partition is uneven.
-    frequency = counts.groupBy(by, "ngram").agg(F.sum("copies").alias("df")).filter(F.col("df") >= min_df)
+    documents = document_words(df, by, text)
+    # Exploded as an expression: for a plain column Spark would add a filter on its size,
+    # push it below the tokens and evaluate them again for every n-gram.
+    grams = F.concat(*[ngrams(F.col("words"), n) for n in sizes])
+    group_size = documents.groupBy(by).agg(F.sum("copies").alias("n"))
+    # Document frequency is summed per task before the shuffle, so a frequent n-gram is
+    # one short row per task.
+    once = documents.select(by, "copies", F.explode(F.array_distinct(grams)).alias("ngram"))
+    frequency = once.groupBy(by, "ngram").agg(F.sum("copies").alias("df")).filter(F.col("df") >= min_df)
     vocabulary = frequency.join(group_size, by).filter(F.col("df") <= F.col("n") * F.lit(max_df))
     idf = F.log((1 + F.col("n")).cast("double") / (1 + F.col("df"))) + 1
     terms = vocabulary.select(by, "ngram", "n", idf.alias("idf"))
-    weighted = counts.join(terms, [by, "ngram"]).withColumn("w", F.col("tf") * F.col("idf"))
+    # The vocabulary is broadcast when it turns out small; otherwise the join is by
+    # shuffle and its uneven partitions, those of frequent n-grams, are split at run time.
+    uses = documents.select(by, "doc", "copies", F.explode(grams).alias("ngram")).join(terms, [by, "ngram"])
+    # One shuffle by document serves both the counts and the length of its vector.
+    placed = uses.repartition(by, "doc")
+    counted = placed.groupBy(by, "doc", "copies", "n", "ngram", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    weighted = counted.withColumn("w", F.col("tf") * F.col("idf"))
     one_document = Window.partitionBy(by, "doc")  # bounded by the terms of one text
     share = F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(one_document)) * F.col("copies")
     scores = weighted.withColumn("share", share).groupBy(by, "ngram").agg(

@@ -14,7 +14,8 @@ from filigree.functions.text import blank_count, char_count, row_hash
 from filigree.operators.joins import broadcast_up_to, null_safe_join, semi
 from filigree.operators.numbering import global_row_number
 
-STRATA = ("temporal_bin", "cik_int", "report_year", "section")
+# Numbers first: the sort compares a number before it compares text.
+STRATA = ("cik_int", "report_year", "section", "temporal_bin")
 
 COVERAGE_STEPS = ((99, "complete"), (75, "high"), (50, "moderate"), (25, "light"), (0.0001, "sparse"))
 
@@ -143,9 +144,11 @@ def stratified_sample(
     output = [key, *strata, rate]
 
     def ranked(part: DataFrame) -> DataFrame:
-        group = Window.partitionBy(*strata)
-        numbered = part.withColumn("_size", F.count(F.lit(1)).over(group)).withColumn(
-            "_rank", F.row_number().over(group.orderBy("_digest", key))
+        # One ordering for both columns, so that one sort serves size and rank.
+        group = Window.partitionBy(*strata).orderBy("_digest", key)
+        whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        numbered = part.withColumns(
+            {"_size": F.count(F.lit(1)).over(whole), "_rank": F.row_number().over(group)}
         )
         wanted = _quota(F.col("_size"), F.col("target_n"), F.col("population"))
         return numbered.filter(F.col("_rank") <= wanted).select(*output)
@@ -204,11 +207,9 @@ def join_back(
     """Sampled ids with all corpus columns, section metadata, text measures and audit columns.
 
     Ids are broadcast only below a checked count, which spares shuffling the wide
-    corpus; ids are made unique first, so repeated keys cannot multiply rows.
+    corpus; repeated ids are dropped first, so copies of a key cannot multiply rows.
     """
-    wanted = ids.groupBy(key).agg(
-        F.min("temporal_bin").alias("temporal_bin"), F.min("sampling_rate_pct").alias("sampling_rate_pct")
-    )
+    wanted = ids.select(key, "temporal_bin", "sampling_rate_pct").distinct()
     rows = corpus.join(broadcast_up_to(wanted, max_broadcast_ids), key)
     dim = sections.select(
         F.col("hf_section_code").alias("_code"),

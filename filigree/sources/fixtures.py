@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.functions.bins import Bin
+from filigree.sources.readers import spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+LONG_TEXTS = ("documents", "pages")
+
 THREE = (Bin("bin_1995_1996", 1995, 1996), Bin("bin_1997_1998", 1997, 1998), Bin("bin_1999_2001", 1999, 2001))
 FIVE = (
     Bin("bin_1995", 1995, 1995),
@@ -34,7 +37,8 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
+            table = self.spark.read.parquet(self.path(name))
+            return spread(table) if name in LONG_TEXTS else table
         raise AttributeError(name)
 
     @property
@@ -72,7 +76,7 @@ class Tables:
             "_", doc_id, F.lit("section"), section.cast("string"),
             F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
         )
-        joined = self.lineitem.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        joined = spread(self.lineitem).join(self.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
             self.customer, F.col("o_custkey") == F.col("c_custkey")
         )
         return joined.select(

@@ -20,6 +20,16 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all of them; larger scans are left alone.
+
+    A Parquet file is read by at most one task per row group. That only matters for a
+    table of a few row groups whose rows are expensive to process.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def union_splits(frames: Sequence[DataFrame]) -> DataFrame:
     """Splits stacked by column name."""
     out = frames[0]
