@@ -28,29 +28,37 @@ TARGET_COLUMNS = ("company_name", "ticker", "source", "tier", "weight_pct", "qua
 def company_dim(df: DataFrame) -> DataFrame:
     """One row per company: latest name, tickers, coverage and size.
 
-    Rows are first collapsed to one per filing, section, name and ticker list, with
-    numeric aggregates only. Tickers are merged as lists, so a company without tickers
-    stays and one with several is not counted several times.
+    Rows are first collapsed to one per filing, section, name and ticker list; that
+    table is written once and read by the four aggregates. Tickers are merged apart from
+    the counts, so a company without tickers stays and one with several is not counted
+    several times.
     """
     day = F.to_date("reportDate")
-    grain = df.groupBy("cik_int", "docID", "section", "name", "tickers").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.length("sentence")).alias("chars"),
-        F.min(day).alias("first"),
-        F.max(day).alias("last"),
+    grain = cut_lineage(
+        df.groupBy("cik_int", "docID", "section", "name", "tickers").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.length("sentence")).alias("chars"),
+            F.min(day).alias("first"),
+            F.max(day).alias("last"),
+        )
     )
-    ids = df.select("cik_int", "sentenceID").distinct().groupBy("cik_int").agg(F.count(F.lit(1)).alias("n_sentences"))
     facts = grain.groupBy("cik_int").agg(
-        F.max_by("name", F.struct("last", "name")).alias("company_name"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("tickers")))).alias("all_tickers"),
         F.min("first").cast("string").alias("earliest_filing_date"),
         F.max("last").cast("string").alias("latest_filing_date"),
-        F.size(F.collect_set("docID")).cast("bigint").alias("n_filings"),
-        F.size(F.collect_set(F.year("last"))).cast("bigint").alias("n_years_covered"),
-        F.size(F.collect_set("section")).cast("bigint").alias("n_sections_covered"),
+        F.countDistinct("docID").alias("n_filings"),
+        F.countDistinct(F.year("last")).alias("n_years_covered"),
+        F.countDistinct("section").alias("n_sections_covered"),
         round_half_away(F.sum("chars").cast("double") / F.sum("rows"), 1).alias("avg_char_length"),
     )
-    companies = facts.join(ids, "cik_int")
+    ids = df.select("cik_int", "sentenceID").distinct().groupBy("cik_int").agg(F.count(F.lit(1)).alias("n_sentences"))
+    names = grain.groupBy("cik_int", "name").agg(F.max("last").alias("last"))
+    latest = names.groupBy("cik_int").agg(F.max_by("name", F.struct("last", "name")).alias("company_name"))
+    tickers = grain.select("cik_int", F.explode("tickers").alias("ticker")).distinct()
+    listed = tickers.groupBy("cik_int").agg(F.array_sort(F.collect_set("ticker")).alias("all_tickers"))
+    companies = (
+        facts.join(ids, "cik_int").join(latest, "cik_int").join(listed, "cik_int", "left")
+        .withColumn("all_tickers", F.coalesce("all_tickers", F.array().cast("array<string>")))
+    )
     return companies.withColumns(
         {
             "cik10": padded_key(F.col("cik_int")),

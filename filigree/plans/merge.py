@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from filigree.functions.text import blank_count, char_count, normalise_key, row_hash
+from filigree.operators.joins import broadcast_up_to
 from filigree.operators.keyed import dedupe_last, upsert
 from filigree.operators.numbering import append_numbers
 from filigree.sinks.versions import VersionedTable
@@ -165,10 +166,27 @@ def check_merge(df: DataFrame, key: str, input_rows: int) -> Row:
     return facts
 
 
-def merged_rows(base: DataFrame, increment: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
-    """Base and aligned increment with one row per key; the increment wins."""
-    aligned = align_to(normalise_times(rename_incoming(increment)), base.schema)
-    return dedupe_last([base, aligned], [key], tie_break)
+def aligned_increment(base: DataFrame, increment: DataFrame) -> DataFrame:
+    """The increment in the columns, names and types of the base."""
+    return align_to(normalise_times(rename_incoming(increment)), base.schema)
+
+
+def merged_rows(
+    base: DataFrame, increment: DataFrame, key: str, tie_break: Sequence[str], base_is_unique: bool = False,
+    max_broadcast_keys: int = 2_000_000,
+) -> DataFrame:
+    """Base and aligned increment with one row per key; the increment wins.
+
+    A base that is known to have unique keys is not grouped again: rows whose key the
+    increment brings are left out, and as long as the increment's keys are few enough to
+    broadcast, which is counted, the base is not shuffled at all.
+    """
+    aligned = aligned_increment(base, increment)
+    if not base_is_unique:
+        return dedupe_last([base, aligned], [key], tie_break)
+    newest = dedupe_last([aligned], [key], tie_break)
+    replaced = broadcast_up_to(newest.select(key), max_broadcast_keys)
+    return base.join(replaced, key, "left_anti").select(*base.columns).unionByName(newest)
 
 
 def merge_job(
@@ -177,14 +195,15 @@ def merge_job(
 ) -> MergeStats:
     """Merge an increment into the newest version, or into ``historical`` on the first run.
 
-    The merged rows are written once to a new, unpublished version; the gates read that
+    A published version has passed the gates, so its keys are unique and it is merged
+    without grouping it again. The merged rows are written once to a new, unpublished version; the gates read that
     version, and only then is it published. A failed gate leaves the old version current.
     """
     start = time.time()
     current = out.read(spark)
     base = historical if current is None else current
     kind = "initial_bootstrap" if current is None else "incremental_update"
-    merged = merged_rows(base, increment, key, tie_break)
+    merged = merged_rows(base, increment, key, tie_break, base_is_unique=current is not None)
     if sort:
         merged = merged.repartitionByRange(*[F.col(c) for c in sort]).sortWithinPartitions(*sort)
     base_rows, incr_rows = base.count(), increment.count()

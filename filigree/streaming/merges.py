@@ -55,7 +55,8 @@ def merge_stream(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         current = out.read(spark)
-        out.write(merged_rows(base if current is None else current, batch, key, tie_break))
+        first = current is None
+        out.write(merged_rows(base if first else current, batch, key, tie_break, base_is_unique=not first))
 
     query = (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
