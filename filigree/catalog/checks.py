@@ -6,16 +6,18 @@ from pyspark.sql import functions as F
 
 from filigree.catalog.features import FLAG_SQL
 from filigree.catalog.registry import Catalog
-from filigree.catalog.sampling import BUDGET, JOINED, CHAIN, allocation, company_keys, section_values, tagged
+from filigree.catalog.sampling import (
+    BUDGET, CHAIN, JOINED, SEED, allocation, company_keys, joined_sample, section_values, tagged, unique_sentences,
+)
 from filigree.functions.bins import temporal_bin
 from filigree.plans import checks as k
 from filigree.plans import sampling as s
 from filigree.plans.features import FLAG_COLUMNS, add_flags
+from filigree.plans.sampling_run import SamplingConfig, run_sampling
 from filigree.plans.subsets import Subset, run_subsets
 from filigree.session import cut_lineage, fresh_path
 from filigree.sources.fixture_sql import SENTENCES, bin_case, on_sentences, with_views
 from filigree.sources.fixtures import THREE
-from filigree.catalog.sampling import joined_sample
 
 catalog = Catalog()
 
@@ -208,3 +210,17 @@ def _(t):
         "temporal_bin", "target_n", s.coverage_level(F.col("sampling_rate_pct")).alias("coverage_level"),
         F.lit(BUDGET).cast("bigint").alias("budget"),
     )
+
+
+@catalog.query(
+    "p29_sampling_run",
+    checked("""SELECT row_number() OVER (ORDER BY temporal_bin, reportDate, cik, section_ID, sentenceID) AS sample_id, sentenceID, section_name,
+  likely_kpi, has_numbers, retrieval_signal_score FROM flagged"""),
+)
+def _(t):
+    """All steps in one run, with step log and validation."""
+    config = SamplingConfig(BUDGET, THREE, version="v1", source="fixture", seed=SEED, recent_year=2000)
+    corpus = cut_lineage(unique_sentences(t))
+    log = fresh_path(t.spark, "run-log")
+    run = run_sampling(t.spark, corpus, company_keys(t), fresh_path(t.spark, "sample"), config, log_path=log)
+    return run.sample.select("sample_id", "sentenceID", "section_name", "likely_kpi", "has_numbers", "retrieval_signal_score")

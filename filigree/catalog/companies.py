@@ -387,3 +387,48 @@ SELECT '{stage}' AS stage, count(*) AS total, count(ticker) AS filled, count(*)
 )
 def _(t):
     return c.completeness(*before_and_after(t))
+
+
+def _picked(t):
+    """The selection without its manual row."""
+    resolved = cut_lineage(c.resolve_entities(t.targets, dim_once(t)))
+    return c.select_n(resolved.filter(F.col("cik_int") != 1), 15, 5)
+
+
+@catalog.query(
+    "p26_selection_breakdown",
+    with_views(
+        """
+SELECT selection_source, count(*) AS n_companies, min(score) AS min_score, max(score) AS max_score, round(avg(score), 2) AS avg_score
+FROM picked WHERE g > 1 GROUP BY selection_source""",
+        SENTENCES, TARGETS, DIM, RESOLVED, SELECT_N,
+    ),
+)
+def _(t):
+    return c.selection_breakdown(_picked(t))
+
+
+@catalog.query(
+    "p16_tier_summary",
+    with_views(
+        """
+SELECT source, tier, count(*) AS n_companies, round(avg(CASE WHEN is_sp500 = 1 THEN weight_pct ELSE quality_score / 1000 END), 3) AS avg_score_proxy
+FROM universe GROUP BY source, tier""",
+        SENTENCES, SCORED, NOTABLE, UNIVERSE,
+    ),
+)
+def _(t):
+    return c.tier_summary(universe(t))
+
+
+@catalog.query(
+    "p19_dimension_spread",
+    with_views(
+        """
+SELECT count(*) AS total_companies, min(n_filings) AS min_filings, round(quantile_cont(n_filings, 0.5), 6) AS median_filings,
+  max(n_filings) AS max_filings, round(avg(n_filings), 1) AS avg_filings FROM dim""",
+        SENTENCES, DIM,
+    ),
+)
+def _(t):
+    return c.dimension_spread(c.company_dim(t.sentences))

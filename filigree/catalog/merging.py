@@ -246,3 +246,15 @@ def _(t):
     return m.reingest_impact(
         t.sentences, F.col("sic") == "BUILDING", F.col("report_year") == 1998, F.col("section").isin(0, 8, 10)
     )
+
+
+@catalog.query(
+    "p28_data_loss",
+    on_sentences("""SELECT count(*) AS original_total, count(CASE WHEN section IN (0, 8, 10) THEN 1 END) AS new_data_sentences,
+  count(CASE WHEN section NOT IN (0, 8, 10) THEN 1 END) AS lost_sentences,
+  round(count(CASE WHEN section NOT IN (0, 8, 10) THEN 1 END) * 100.0 / count(*), 1) AS pct_data_lost FROM sentences"""),
+)
+def _(t):
+    """The calculation when the whole corpus is delivered again with three sections only."""
+    everything = F.lit(True)
+    return m.data_loss(m.reingest_impact(t.sentences, everything, everything, F.col("section").isin(0, 8, 10)))

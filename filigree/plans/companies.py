@@ -11,6 +11,7 @@ from filigree.functions.bins import label_by_threshold
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.ordering import top_k
 from filigree.functions.text import NAME_SUFFIXES_SHORT, normalise_key, normalise_name, padded_key
+from filigree.operators.aggregates import quantiles
 from filigree.operators.joins import list_contains_join
 from filigree.operators.keyed import first_by_key, last_by_key
 from filigree.operators.numbering import global_row_number
@@ -409,3 +410,32 @@ def completeness(before: DataFrame, after: DataFrame, column: str = "ticker") ->
         )
 
     return facts(before, "before").unionByName(facts(after, "after"))
+
+
+def selection_breakdown(selected: DataFrame) -> DataFrame:
+    """Per selection source: companies and the range and mean of their score."""
+    return selected.groupBy("selection_source").agg(
+        F.count(F.lit(1)).alias("n_companies"),
+        F.min("score").alias("min_score"),
+        F.max("score").alias("max_score"),
+        round_half_away(F.avg("score"), 2).alias("avg_score"),
+    )
+
+
+def tier_summary(universe: DataFrame) -> DataFrame:
+    """Per source and tier: companies and their mean score on the common scale."""
+    proxy = F.when(F.col("is_sp500") == 1, F.col("weight_pct")).otherwise(F.col("quality_score") / 1000)
+    return universe.groupBy("source", "tier").agg(
+        F.count(F.lit(1)).alias("n_companies"), round_half_away(F.avg(proxy), 3).alias("avg_score_proxy")
+    )
+
+
+def dimension_spread(dim: DataFrame) -> DataFrame:
+    """One row: companies and the spread of their filing counts."""
+    return dim.agg(
+        F.count(F.lit(1)).alias("total_companies"),
+        F.min("n_filings").alias("min_filings"),
+        *quantiles("n_filings", {"median_filings": 0.5}),
+        F.max("n_filings").alias("max_filings"),
+        round_half_away(F.avg("n_filings"), 1).alias("avg_filings"),
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
+from filigree.functions.numbers import percent
 from filigree.functions.text import blank_count, char_count, normalise_key, row_hash
 from filigree.operators.joins import broadcast_up_to
 from filigree.operators.keyed import dedupe_last, upsert
@@ -265,3 +266,14 @@ def reingest_impact(
     return marked.groupBy(action.alias("action")).agg(
         F.count(F.lit(1)).alias("n_sentences"), F.countDistinct("section").alias("n_sections")
     )
+
+
+def data_loss(impact: DataFrame) -> DataFrame:
+    """One row from ``reingest_impact``: sentences before, brought again, lost, and the share lost."""
+    n = F.col("n_sentences")
+    facts = impact.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("original_total"),
+        F.coalesce(F.sum(F.when(F.col("action") == "replaced", n)), F.lit(0)).alias("new_data_sentences"),
+        F.coalesce(F.sum(F.when(F.col("action") != "replaced", n)), F.lit(0)).alias("lost_sentences"),
+    )
+    return facts.withColumn("pct_data_lost", percent(F.col("lost_sentences"), F.col("original_total"), 1))

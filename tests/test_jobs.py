@@ -15,6 +15,7 @@ from filigree.plans import merge as m
 from filigree.plans import text_scans as x
 from filigree.plans.near_duplicates import block_masks, near_dupes, near_pairs, simhash
 from filigree.plans.ngrams import suggest_labels, top_ngrams
+from filigree.plans.sampling_run import SamplingConfig, report_problems, run_sampling
 from filigree.plans.sections import dim_sections
 from filigree.sinks.versions import VersionedTable
 from filigree.streaming import merges as st
@@ -240,3 +241,35 @@ def test_first_rows_of_stream_stops(spark, tmp_path):
     stream = st.file_stream(spark, str(tmp_path / "in"), spark.range(1).schema, files_per_batch=1)
     got = st.first_rows_of_stream(stream, 30, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert got.select("id").distinct().count() == 30
+
+
+def test_sampling_run_with_injection(spark, tmp_path):
+    rows = [
+        (f"{c:010d}", c, f"Co {c}", ["T"], f"{c}_10-K_{y}", f"{c}_{y}_{s}_{i}", s, "10-K", "12", f"Revenue was ${i} million in {y}.", f"{y}-03-01", f"{y - 1}-12-31", y - 1)
+        for c in (1, 2) for y in (2008, 2013, 2019) for s in (1, 8) for i in range(20)
+    ]
+    corpus = spark.createDataFrame(
+        rows,
+        "cik string, cik_int bigint, name string, tickers array<string>, docID string, sentenceID string, section bigint, form string, "
+        "sic string, sentence string, filingDate string, reportDate string, report_year bigint",
+    )
+    increment = spark.createDataFrame(
+        [("0000000003", "ALPHABET INC", "3_10-K_2019", f"3_2019_8_{i}", 8, "item_7 ", "7370", "Sales grew strongly.", "2020-02-01", "2019-12-31", 2019, "bin_2016_2020") for i in range(5)],
+        "cik string, name string, docID string, sentenceID string, section_ID bigint, section_item string, SIC string, sentence string, "
+        "filingDate string, reportDate string, report_year bigint, temporal_bin string",
+    )
+    known = m.name_matches(F.col("name"), ["ALPHABET", "GOOGLE"])
+    config = SamplingConfig(budget=160, placeholders=m.company_placeholders(known, ["GOOGL", "GOOG"], ["NASDAQ"], "DE"))
+    run = run_sampling(
+        spark, corpus, corpus.select("cik_int").distinct(), str(tmp_path / "sample"), config, increment, str(tmp_path / "log")
+    )
+    by_method = {r["load_method"]: (r["n"], r["s"]) for r in run.sample.groupBy("load_method").agg(F.count("*").alias("n"), F.max("record_status").alias("s")).collect()}
+    assert by_method["incremental_inject"] == (5, "injected") and by_method["stratified_sampling"][0] == 160
+    injected = run.sample.filter("load_method = 'incremental_inject'").first()
+    assert (injected["section_name"], injected["section_category"], injected["tickers"]) == ("item_7 ", "P2_MDNA", ["GOOGL", "GOOG"])
+    ids = [r["sample_id"] for r in run.sample.orderBy("sample_id").collect()]
+    assert ids == list(range(1, 166))
+    assert run.joinback.first()["lost_rows"] == 0
+    assert [r["step_name"] for r in run.log.orderBy("step_number").collect()][-1] == "VALIDATION"
+    problems = {r["check_name"] for r in report_problems(run.report).collect()}
+    assert "4 sections" in problems and "12 summary" not in problems
