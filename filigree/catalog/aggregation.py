@@ -9,6 +9,7 @@ from filigree.catalog.registry import Catalog
 from filigree.functions.arrays import joined_values
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.operators import aggregates as a
+from filigree.operators.windows import exact_quantiles
 from filigree.sources.fixture_sql import SENTENCES, TARGETS, on_sentences, with_views
 
 catalog = Catalog()
@@ -78,10 +79,20 @@ FROM lineitem GROUP BY l_returnflag""",
 )
 def _(t):
     points = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
-    stats = t.lineitem.groupBy("l_returnflag").agg(*a.quantiles("l_extendedprice", points))
+    stats = exact_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", points)
     return stats.withColumn("p95_to_median", ratio(F.col("p95"), F.col("p50")))
 
 
+@catalog.query(
+    "a4_percentiles_of_counts",
+    """SELECT o_orderstatus, round(quantile_cont(n, 0.25), 6) AS p25, round(quantile_cont(n, 0.9), 6) AS p90
+FROM (SELECT o_orderstatus, o_custkey, count(*) AS n FROM orders GROUP BY ALL) GROUP BY o_orderstatus""",
+)
+def _(t):
+    counts = t.orders.groupBy("o_orderstatus", "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("o_orderstatus").agg(*a.quantiles("n", {"p25": 0.25, "p90": 0.9}))
+
+
 @catalog.query(
     "a5_value_at_maximum",
     """SELECT o_custkey, arg_max(o_orderpriority, (o_totalprice, o_orderpriority)) AS priority_of_largest, max(o_totalprice) AS largest

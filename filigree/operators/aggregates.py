@@ -11,7 +11,11 @@ from filigree.functions.numbers import percent, round_half_away
 
 
 def quantiles(value: str, points: dict[str, float], digits: int = 6) -> list[Column]:
-    """Exact interpolated percentiles as named columns, all from one aggregate."""
+    """Exact interpolated percentiles as named columns, all from one aggregate.
+
+    For lengths and counts, which take few different values; ``exact_quantiles`` is the
+    form for columns with very many.
+    """
     found = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in points.values()]))
     return [round_half_away(found[i], digits).alias(name) for i, name in enumerate(points)]
 

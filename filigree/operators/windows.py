@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filigree.functions.numbers import percent, round_half_away
 from filigree.functions.ordering import sort_key
 from filigree.operators.joins import null_safe_join
 from filigree.session import cut_lineage
@@ -113,6 +114,43 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
 
 def share_of_total(df: DataFrame, count: str, name: str, digits: int = 2) -> DataFrame:
     """Percentage of the whole for a small aggregated frame."""
-    from filigree.functions.numbers import percent
-
     return df.withColumn(name, percent(F.col(count), F.sum(count).over(Window.partitionBy())))
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], digits: int = 6, hot_rows: int = 1_000_000
+) -> DataFrame:
+    """Interpolated percentiles per group for a column with very many different values.
+
+    The built-in exact percentile keeps every different value of a group in one task. Here
+    values are counted, ranked by running counts, and only the rows around each wanted
+    position are kept.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(counts, keys, [value], "_n", "_i", hot_rows)
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    placed = null_safe_join(ranked.select(*keys, value, "_n", "running_sum"), totals, keys)
+    before = F.col("running_sum") - F.col("_n")
+
+    def position(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_total") - 1)
+
+    def holds(index: Column) -> Column:
+        return (before <= index) & (index < F.col("running_sum"))
+
+    wanted = F.lit(False)
+    sides = {}
+    for i, p in enumerate(points.values()):
+        low, high = holds(F.floor(position(p))), holds(F.ceil(position(p)))
+        wanted = wanted | low | high
+        sides[f"_lo{i}"], sides[f"_hi{i}"] = low, high
+    x = F.col(value).cast("double")
+    kept = placed.filter(wanted).groupBy(*keys).agg(
+        F.max("_total").alias("_total"), *[F.max(F.when(c, x)).alias(n) for n, c in sides.items()]
+    )
+
+    def between(i: int, p: float) -> Column:
+        part = position(p) - F.floor(position(p))
+        return round_half_away(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * part, digits)
+
+    return kept.select(*keys, *[between(i, p).alias(name) for i, (name, p) in enumerate(points.items())])

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filigree.functions.numbers import round_half_away
-from filigree.functions.ordering import replay_hash
 from filigree.functions.text import distinct_texts, ngrams, tokens
 from filigree.operators.windows import top_per_group
+from filigree.plans.sampling import sample_per_group
 
 # Label hints in the order in which they are tried.
 LABEL_HINTS = (
@@ -23,12 +23,6 @@ LABEL_HINTS = (
 )
 
 
-def sample_per_group(df: DataFrame, by: str, text: str, n: int, seed: int) -> DataFrame:
-    """At most ``n`` rows per group in replayable random order; a sampling operator, off by default."""
-    hashed = df.withColumn("_h", replay_hash(seed, text))
-    return top_per_group(hashed, [by], ["_h", text], n, "_rn").drop("_h", "_rn")
-
-
 def document_words(df: DataFrame, by: str, text: str) -> DataFrame:
     """(group, document, copies, words), with equal texts of a group as one document with copies."""
     # Tokens are a column of their own, so that they are found once and not once per n-gram.
@@ -48,7 +42,7 @@ def top_ngrams(
     in more than the share ``max_df`` are left out.
     """
     if sample is not None:
-        df = sample_per_group(df, by, text, sample, seed)
+        df = sample_per_group(df, by, sample, [text], seed)
     documents = document_words(df, by, text)
     # Exploded as an expression: for a plain column Spark would add a filter on its size,
     # push it below the tokens and evaluate them again for every n-gram.

@@ -13,6 +13,7 @@ from filigree.functions.ordering import replay_hash, unit_interval
 from filigree.functions.text import blank_count, char_count, row_hash
 from filigree.operators.joins import broadcast_up_to, null_safe_join, semi
 from filigree.operators.numbering import global_row_number
+from filigree.operators.windows import top_per_group
 
 # Numbers first: the sort compares a number before it compares text.
 STRATA = ("cik_int", "report_year", "section", "temporal_bin")
@@ -132,7 +133,7 @@ def stratified_sample(
 
     Strata up to ``hot_rows`` rows are ranked in one window, one shuffle for size and
     rank together. Larger strata would each be sorted by one task; they are cut by
-    counted slices of the hash range instead (see ``_take_by_slices``). Both give the
+    counted slices of the hash range instead (see ``take_by_slices``). Both give the
     same rows.
     """
     # One row per bin, so the broadcast is bounded by the number of bins.
@@ -160,11 +161,11 @@ def stratified_sample(
     cold_rows = null_safe_join(rows, names, strata, "left_anti")
     hot_rows_ = null_safe_join(rows, hot.select(*strata, "_size"), strata)
     wanted = _quota(F.col("_size"), F.col("target_n"), F.col("population"))
-    picked = _take_by_slices(hot_rows_.withColumn("_take", wanted), strata, ["_digest", key], hot_rows)
+    picked = take_by_slices(hot_rows_.withColumn("_take", wanted), strata, ["_digest", key], hot_rows)
     return ranked(cold_rows).unionByName(picked.select(*output))
 
 
-def _take_by_slices(rows: DataFrame, strata: Sequence[str], order: Sequence[str], slice_rows: int) -> DataFrame:
+def take_by_slices(rows: DataFrame, strata: Sequence[str], order: Sequence[str], slice_rows: int) -> DataFrame:
     """First ``_take`` rows of each large stratum by ``order``, whose first column is a hex digest.
 
     The digest range is cut into slices of about ``slice_rows`` rows. Counting rows per
@@ -195,6 +196,24 @@ def _take_by_slices(rows: DataFrame, strata: Sequence[str], order: Sequence[str]
     return whole.unionByName(partly)
 
 
+def sample_per_group(
+    df: DataFrame, by: str, n: int, keys: Sequence[str], seed: int = 42, hot_rows: int = 1_000_000
+) -> DataFrame:
+    """At most ``n`` rows per group, the first by ``md5(seed|first key)`` and then by ``keys``.
+
+    Groups above ``hot_rows`` rows are cut by counted slices of the hash range.
+    """
+    order = ["_digest", *keys]
+    hashed = df.withColumn("_digest", replay_hash(seed, keys[0]))
+    sizes = hashed.groupBy(by).agg(F.count(F.lit(1)).alias("_size"))
+    hot = sizes.filter(F.col("_size") > hot_rows).withColumn("_take", F.least(F.col("_size"), F.lit(n)))
+    if hot.limit(1).count() == 0:
+        return top_per_group(hashed, [by], order, n, "_rn").select(*df.columns)
+    cold = null_safe_join(hashed, hot.select(by), [by], "left_anti")
+    picked = take_by_slices(null_safe_join(hashed, hot, [by]), [by], order, hot_rows)
+    return top_per_group(cold, [by], order, n, "_rn").select(*df.columns).unionByName(picked.select(*df.columns))
+
+
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows in replayable random order; Spark keeps only ``n`` rows per task."""
     return df.withColumn("_h", replay_hash(seed, key)).orderBy("_h", key).limit(n).drop("_h")

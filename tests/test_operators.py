@@ -9,6 +9,7 @@ from filigree.functions.ordering import order_by
 from filigree.operators import joins as j
 from filigree.operators import keyed as k
 from filigree.operators import windows as w
+from filigree.operators.aggregates import quantiles
 from filigree.operators.numbering import append_numbers, global_row_number
 from filigree.operators.schemas import check_required, compare_schemas, schema_verdict
 from filigree.plans.features import add_flags, drop_flags
@@ -46,6 +47,15 @@ def test_running_by_ranges_equals_window(spark):
     assert rows(w.running(df, ["g"], ["i"], "v", hot_rows=1)) == rows(usual)
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
+def test_exact_quantiles_equal_percentile(spark, hot_rows):
+    data = [(i % 3 if i % 11 else None, float(i * i % 17) if i % 5 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "g int, v double")
+    points = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    usual = df.groupBy("g").agg(*quantiles("v", points))
+    assert rows(w.exact_quantiles(df, ["g"], "v", points, hot_rows=hot_rows)) == rows(usual)
+
+
 def test_store_frame_windows(spark):
     data = [("A", 1, 100), ("A", 2, 150), ("A", 3, 200), ("B", 1, 80), ("B", 2, 90), ("B", 3, 110)]
     df = spark.createDataFrame(data, "store string, day int, sales int")

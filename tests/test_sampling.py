@@ -100,3 +100,11 @@ def test_seeded_sample_replays(spark):
     a = s.seeded_sample(df, 50, "k").collect()
     assert a == s.seeded_sample(df.repartition(7), 50, "k").collect()
     assert a != s.seeded_sample(df, 50, "k", seed=1).collect()
+
+
+def test_sample_per_group_hot_path_agrees(spark):
+    df = spark.createDataFrame([(i % 2, f"t{i}" if i % 4 else "copy") for i in range(300)], "g int, t string")
+    usual = s.sample_per_group(df, "g", 40, ["t"])
+    assert {r["g"]: r["count"] for r in usual.groupBy("g").count().collect()} == {0: 40, 1: 40}
+    hot = s.sample_per_group(df, "g", 40, ["t"], hot_rows=10)
+    assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, usual.collect()))
