@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import simhash
+from filigree.llm import exact_dedup, mixing, simhash
 from filigree.llm.common import read
 
 
@@ -12,7 +12,20 @@ def op1_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
+
+
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op8_source_mix": op8_source_mix,
+}
+SQL = {
+    "op4_exact_dedup": exact_dedup.SQL.strip(),
+    "op8_source_mix": mixing.SQL.strip(),
 }
-SQL: dict[str, str] = {}
