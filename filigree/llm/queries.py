@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import exact_dedup, mixing, simhash
+from filigree.llm import decontaminate, exact_dedup, mixing, simhash
 from filigree.llm.common import read
 
 
@@ -16,6 +16,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return decontaminate.digest_columns(found)
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
@@ -23,9 +28,11 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_source_mix": op8_source_mix,
 }
 SQL = {
     "op4_exact_dedup": exact_dedup.SQL.strip(),
+    "op6_benchmark_decontamination": decontaminate.SQL.strip(),
     "op8_source_mix": mixing.SQL.strip(),
 }
