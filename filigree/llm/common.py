@@ -21,6 +21,13 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies on this cluster's machines."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe from lost executors."""
     return cut_lineage(df)

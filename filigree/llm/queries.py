@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, mixing, simhash
-from filigree.llm.common import read
+from filigree.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_files
+from filigree.llm.common import read, vocabulary
 
 
 def op1_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,15 +21,25 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.digest_columns(found)
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op8_source_mix": op8_source_mix,
+    "op9_token_files": op9_token_files,
 }
 SQL = {
     "op4_exact_dedup": exact_dedup.SQL.strip(),
