@@ -19,6 +19,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,16 @@ from filigree.llm.common import arrow_map, raw_texts, slices, stage
 from filigree.session import fresh_path
 
 END = 2
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 MANIFEST = "part int, ids_path string, idx_path string, width int, n_docs long, n_ids long, first_doc long"
 
 
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` one after another."""
+    stops = np.cumsum(sizes)
+    return values[np.repeat(starts - (stops - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
 class Encoder:
     """The library's encoding, with the ids of blank-separated stretches remembered.
 
@@ -57,28 +64,37 @@ class Encoder:
         self.sizes = np.zeros(0, np.int64)
 
     def learn(self, fresh: list[bytes]) -> None:
-        texts = [x.decode("utf-8", "replace") for x in fresh]
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        """Remember new stretches. Full stops and commas after a letter are a token run of their own."""
+        cores = [w.rstrip(b".,") for w in fresh]
+        cores = [c if c and c[-1:].isalnum() else w for c, w in zip(cores, fresh, strict=True)]
+        tails = [w[len(c) :] for c, w in zip(cores, fresh, strict=True)]
+        parts = list({*cores, *tails})
+        at = dict(zip(parts, range(len(parts)), strict=True))
+        found = self.library.encode([x.decode("utf-8", "replace") for x in parts], is_pretokenized=True, add_special_tokens=False)
+        ids, sizes = np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(parts))
+        starts = np.cumsum(sizes) - sizes
+        both = np.empty(2 * len(fresh), np.int64)
+        both[0::2] = np.fromiter(map(at.__getitem__, cores), np.int64, len(fresh))
+        both[1::2] = np.fromiter(map(at.__getitem__, tails), np.int64, len(fresh))
+        new = ragged(ids, starts[both], sizes[both])
+        lengths = sizes[both[0::2]] + sizes[both[1::2]]
         self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.sizes = np.concatenate([self.sizes, lengths])
+        self.ids = np.concatenate([self.ids, new])
 
     def encode(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``END``, and the number of ids of each."""
         if len(self.place) > REMEMBERED:
             self.forget()
-        cut = [raw.split() for raw in raws]
-        if fresh := list({w for own in cut for w in own if w not in self.place}):
+        cut = [(raw if b"<|" in raw else raw.lower()).split() for raw in raws]  # special strings keep their case
+        if fresh := list({w for w in chain.from_iterable(cut) if w not in self.place}):
             self.learn(fresh)
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter((self.place[w] for own in cut for w in own), np.int64, int(counts.sum()))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         sizes = self.sizes[at]
-        stops = np.cumsum(sizes)
-        flat = self.ids[np.repeat(self.starts[at] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))]
-        last = np.cumsum(counts)
-        ends = np.concatenate([[0], stops])[last]
+        flat = ragged(self.ids, self.starts[at], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
         return np.insert(flat, ends, END), np.diff(ends, prepend=0) + 1
 
 
