@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_files
+from filigree.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, vocabulary
 
 
@@ -12,6 +12,11 @@ def op1_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
 
@@ -35,6 +40,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
+    "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_counts": op7_token_counts,
