@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_files, toxicity
+from filigree.llm import decontaminate, exact_dedup, langid, mixing, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, vocabulary
 
 
@@ -17,6 +17,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
 
@@ -41,6 +46,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_counts": op7_token_counts,
