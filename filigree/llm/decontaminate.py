@@ -153,6 +153,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.select(F.col("i").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, all columns kept."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    out = docs
+    for k, items in enumerate(_blocks(benchmark, item_col, item_text_col)):
+        patterns = windows(items, window)
+        name = hashlib.sha256(repr(sorted(patterns.items())).encode()).hexdigest()
+        shared = docs.sparkSession.sparkContext.broadcast(patterns)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            found = automaton(shared.value, name)
+            for batch in slices(batches):
+                clean = [not scan(raw, found)[1] for raw in raw_texts(batch, text_col)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        out = arrow_map(stage(out) if k else out, run, schema)
+    return out
+
+
 def digest_columns(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select(id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

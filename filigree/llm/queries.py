@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, langid, mixing, simhash, token_counts, token_files, toxicity
+from filigree.llm import decontaminate, exact_dedup, langid, mixing, pii, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, vocabulary
 
 
@@ -43,6 +43,11 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return pii.digest_columns(pii.find_pii(docs, pii.fit(docs)))
+
+
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op2_toxicity": op2_toxicity,
@@ -52,6 +57,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_source_mix": op8_source_mix,
     "op9_token_files": op9_token_files,
+    "op10_pii": op10_pii,
 }
 SQL = {
     "op4_exact_dedup": exact_dedup.SQL.strip(),

@@ -179,12 +179,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; all columns are kept.
+    """The rows of ``docs`` whose id is the smallest of its group, all columns kept.
 
-    Of rows that repeat the same id, one stays (ids are expected to be unique). A row without an
-    id cannot be told from its like and stays only if its whole group has none.
+    Rows without an id stay only where a whole group has none; rows that repeat the smallest id all
+    stay, as ids name documents.
     """
     groups = near_duplicates(docs, id_col, text_col)
-    keep = groups.select("component_id").distinct().select(F.col("component_id").alias(id_col))
-    kept = docs.join(keep.where(F.col(id_col).isNotNull()), id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns)
+    keep = stage(groups.select("component_id").distinct()).withColumnRenamed("component_id", "_keep")
+    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")

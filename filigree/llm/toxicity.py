@@ -291,7 +291,6 @@ def restore(docs: DataFrame, model: Model, text_col: str = "text", to: str = "re
 
 def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns kept; also rows without an id."""
-    names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -299,6 +298,6 @@ def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         restorer, found = Restorer(own.costs), own.automaton()
         for batch in slices(batches):
             keep = [score_text(restorer.text(x), found, own.bias) < 0.5 for x in str_texts(batch, text_col)]
-            yield batch.filter(pa.array(keep, pa.bool_())).rename_columns(names)
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
