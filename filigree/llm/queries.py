@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, langid, mixing, pii, simhash, token_counts, token_files, toxicity
+from filigree.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, pii, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, vocabulary
 
 
@@ -26,6 +26,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, folder, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return decontaminate.digest_columns(found)
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_fuzzy_lines": op5_fuzzy_lines,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_source_mix": op8_source_mix,
