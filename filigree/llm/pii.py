@@ -350,5 +350,5 @@ def find_pii(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_
 
 def digest_columns(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return found.select(id_col, *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
