@@ -25,7 +25,7 @@ records AS (
       * CASE WHEN upper(regexp_extract(value_raw, '{k.CURRENCY}', 2)) IN ('BILLION', 'BN', 'B') THEN 1e9
              WHEN upper(regexp_extract(value_raw, '{k.CURRENCY}', 2)) IN ('MILLION', 'MN', 'M') THEN 1e6 ELSE 1.0 END AS value,
     value_raw, coalesce(nullif(regexp_extract(sentence, '{k.YEAR}', 1), ''), left(reportDate, 4), '') AS year, 0.5::DOUBLE AS confidence,
-    left(sentence, 200) AS source_answer, left(sentence, 300) AS original_sentence, sentenceID, cik, tickers[1] AS ticker, name AS company,
+    sentence AS source_answer, sentence AS original_sentence, sentenceID, cik, tickers[1] AS ticker, name AS company,
     section, docID, reportDate FROM raws),
 valid AS (SELECT * FROM records WHERE value IS NOT NULL)"""
 

@@ -32,12 +32,47 @@ def _(t):
 
 @catalog.query(
     "p9_dedupe_sentences",
-    on_sentences("SELECT sentenceID, max(sentence) AS sentence, count(DISTINCT docID) AS n_docs FROM sentences GROUP BY sentenceID"),
+    on_sentences("""SELECT sentenceID, sentence, docID FROM sentences
+QUALIFY row_number() OVER (PARTITION BY sentenceID ORDER BY sentence DESC, docID DESC) = 1"""),
 )
 def _(t):
     rows = t.sentences.select("sentenceID", "sentence", "docID")
     kept = dedupe_last([rows], ["sentenceID"], ["sentence", "docID"])
-    return kept.select("sentenceID", "sentence", F.lit(1).cast("bigint").alias("n_docs"))
+    return kept.select("sentenceID", "sentence", "docID")
+
+
+@catalog.query(
+    "p8_merge_into_partitions",
+    with_views("\nSELECT event_id, user_id, event_type, value FROM merged", EVENTS_SPLIT, MERGED),
+)
+def _(t):
+    """The base in partitions of a thousand keys, the increment merged into those it falls into."""
+    part = F.floor(F.col("event_id") / 1000).cast("bigint")
+    out = VersionedTable(fresh_path(t.spark, "merge-parts"), by="part")
+    base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("part", part)
+    m.merge_job(t.spark, base, base.limit(0), out, "event_id", ["ts"])
+    m.merge_job(t.spark, base, t.increment_events.withColumn("part", part), out, "event_id", ["ts"])
+    return out.read(t.spark).select("event_id", "user_id", "event_type", "value")
+
+
+@catalog.query(
+    "p8_merge_history",
+    with_views(
+        """
+SELECT * FROM (VALUES ('initial_bootstrap', 'published', (SELECT count(*) FROM base), (SELECT count(*) FROM incr), (SELECT count(*) FROM merged)),
+  ('incremental_update', 'published', (SELECT count(*) FROM merged), (SELECT count(*) FROM incr), (SELECT count(*) FROM merged)))
+  AS v(merge_type, status, base_rows, incr_rows, final_rows)""",
+        EVENTS_SPLIT,
+        MERGED,
+    ),
+)
+def _(t):
+    """The log of two merges."""
+    out, log = VersionedTable(fresh_path(t.spark, "merge")), fresh_path(t.spark, "merge-log")
+    base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        m.merge_job(t.spark, base, t.increment_events, out, "event_id", ["ts"], history=log)
+    return m.merge_history(t.spark, log).select("merge_type", "status", "base_rows", "incr_rows", "final_rows")
 
 
 @catalog.query(
@@ -79,7 +114,7 @@ def _(t):
     "p13_merge_projection",
     with_views(
         """,
-h AS (SELECT user_id AS k FROM base WHERE event_type = 'purchase'), i AS (SELECT user_id AS k FROM incr WHERE event_type = 'error')
+h AS (SELECT user_id AS k FROM base), i AS (SELECT user_id AS k FROM incr)
 SELECT (SELECT count(*) FROM h) AS hist_rows, (SELECT count(DISTINCT k) FROM h) AS hist_keys, (SELECT count(*) FROM i) AS incr_rows,
   (SELECT count(DISTINCT k) FROM i) AS incr_keys, (SELECT count(*) FROM (SELECT k FROM h INTERSECT SELECT k FROM i)) AS overlap,
   (SELECT count(*) FROM (SELECT k FROM h UNION SELECT k FROM i)) AS expected_rows,
@@ -89,9 +124,7 @@ SELECT (SELECT count(*) FROM h) AS hist_rows, (SELECT count(DISTINCT k) FROM h)
     ),
 )
 def _(t):
-    hist = t.base_events.filter(F.col("event_type") == "purchase")
-    incr = t.increment_events.filter(F.col("event_type") == "error")
-    return m.project_merge(hist, incr, "user_id")
+    return m.project_merge(t.base_events, t.increment_events, "user_id")
 
 
 SCHEMA_COMPARED = """SELECT 'sic' AS column_name, 'match' AS status, (SELECT count(sic) FROM sentences) AS n_left, (SELECT count(sic) FROM sentences) AS n_right

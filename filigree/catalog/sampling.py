@@ -171,14 +171,13 @@ P4_COLUMNS = (
 
 def section_values() -> str:
     """The section dimension as a SQL relation, written from the same fixed rows."""
-    from filigree.plans.sections import SECTION_ITEMS, UNCODED_ITEMS
+    from filigree.plans.sections import SECTIONS
 
-    def row(i: int, r: tuple) -> str:
-        item, part, title, category, priority = r[:5]
-        code = "NULL" if item in UNCODED_ITEMS else str(i)
-        return f"('ITEM_{item}', {code}, 'Item {item}: {title}', 'P{part}_{category}', '{priority}')"
+    def row(r: tuple) -> str:
+        item, code, _, _, title, _, category, _, priority, _ = r
+        return f"('{item}', {'NULL' if code is None else code}, '{title}', '{category}', '{priority}')"
 
-    rows = ",\n".join(row(i, r) for i, r in enumerate(SECTION_ITEMS))
+    rows = ",\n".join(row(r) for r in SECTIONS)
     return f"dim AS (SELECT * FROM (VALUES {rows}) AS v(item, code, title, category, priority))"
 
 

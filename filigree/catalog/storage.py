@@ -31,10 +31,22 @@ def _(t):
     return scan.filter((F.col("o_totalprice") > 100000) & (F.col("o_orderstatus") == "F")).select("o_orderkey", "o_totalprice")
 
 
-@catalog.query("src3_row_group_inventory")
+INVENTORIED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@catalog.query(
+    "src3_file_inventory",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS total_rows, TRUE AS all_rows_in_files FROM {n}" for n in INVENTORIED),
+)
 def _(t):
-    groups = r.row_groups(t.spark, t.path("lineitem"), t.path("orders"), t.path("documents"))
-    return r.row_group_summary(groups)
+    """Rows by table, from the files they lie in."""
+    found = None
+    for name in INVENTORIED:
+        files = r.file_inventory(t.spark, t.path(name))
+        held = files.agg(F.sum("n_rows").alias("total_rows"), F.min(F.col("n_rows") > 0).alias("all_rows_in_files"))
+        one = held.select(F.lit(name).alias("table_name"), "total_rows", "all_rows_in_files")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @catalog.query(
@@ -118,7 +130,9 @@ def _(t):
 def _(t):
     rows = t.orders.select(*ORDER_COLUMNS)
     folder = fresh_path(t.spark, "splits")
-    paths = [writers.write_parquet(rows.filter(F.col("o_orderstatus") == s), f"{folder}/{s}") for s in ("F", "O", "P")]
+    status = F.col("o_orderstatus")
+    splits = {s: status.eqNullSafe(s) for s in ("F", "O", "P")} | {"rest": status.isNull() | ~status.isin("F", "O", "P")}
+    paths = [writers.write_parquet(rows.filter(chosen), f"{folder}/{s}") for s, chosen in splits.items()]
     return r.read_parquet(t.spark, *paths)
 
 
@@ -233,13 +247,14 @@ def _(t):
 
 @catalog.query(
     "dml1_insert_select",
-    "SELECT event_id, event_type FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, event_type FROM events WHERE event_type = 'signup'",
+    "SELECT event_id, event_type FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, event_type FROM events WHERE event_type IS DISTINCT FROM 'error'",
 )
 def _(t):
     path = fresh_path(t.spark, "insert")
     rows = t.events.select("event_id", "event_type")
-    writers.write_parquet(rows.filter(F.col("event_type") == "error"), path)
-    writers.write_parquet(rows.filter(F.col("event_type") == "signup"), path, mode="append")
+    error = F.col("event_type").eqNullSafe("error")
+    writers.write_parquet(rows.filter(error), path)
+    writers.write_parquet(rows.filter(~error), path, mode="append")
     return r.read_parquet(t.spark, path)
 
 

@@ -14,10 +14,13 @@ from filigree.streaming import merges as st
 catalog = Catalog()
 
 
-@catalog.query("src9_first_rows_of_stream")
+@catalog.query("src9_first_rows_of_stream", "SELECT least(count(*), 1000) AS n_rows, least(count(*), 1000) AS n_of_table FROM events")
 def _(t):
+    """Which rows come first is up to the stream; how many, and that all are rows of the table, is not."""
     stream = st.file_stream(t.spark, t.folder, t.events.schema, names="events.parquet")
-    return st.first_rows_of_stream(stream, 1000, fresh_path(t.spark, "first"), fresh_path(t.spark, "cp"))
+    got = st.first_rows_of_stream(stream, 1000, fresh_path(t.spark, "first"), fresh_path(t.spark, "cp"))
+    known = t.events.select("event_id", F.lit(1).alias("known")).distinct()
+    return got.join(known, "event_id", "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_of_table"))
 
 
 @catalog.query(
@@ -31,10 +34,12 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY src DESC, ts DESC) = 1
 )
 def _(t):
     """The increment arrives in several batches and is merged into a versioned table."""
-    base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp"))
-    landing = write_parquet(t.increment_events.repartition(3), fresh_path(t.spark, "landing"))
-    stream = st.file_stream(t.spark, landing, t.increment_events.schema, files_per_batch=1)
-    out = VersionedTable(fresh_path(t.spark, "stream-merge"))
+    part = F.floor(F.col("event_id") / 1000).cast("bigint").alias("part")
+    base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp")).select("*", part)
+    increment = t.increment_events.select("*", part)
+    landing = write_parquet(increment.repartition(3), fresh_path(t.spark, "landing"))
+    stream = st.file_stream(t.spark, landing, increment.schema, files_per_batch=1)
+    out = VersionedTable(fresh_path(t.spark, "stream-merge"), by="part")
     merged = st.merge_stream(stream, base, out, "event_id", ["ts"], fresh_path(t.spark, "cp"))
     return merged.select("event_id", "user_id", "value")
 

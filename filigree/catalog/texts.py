@@ -136,21 +136,22 @@ def fingerprint_sql(limit: str) -> str:
     shares = ", ".join(f"round({n} * 100.0 / n_sampled, 1) AS pct_{n}" for n in x.KEYWORD_GROUPS)
     arms = [
         f"WHEN {n} > greatest({', '.join(o for o in x.DOMINANT if o != n)}) THEN '{label}'" for n, label in x.DOMINANT.items()
-    ] + [f"WHEN {n} > 10 THEN '{label}'" for n, label in x.FREQUENT.items()]
+    ] + [f"WHEN {n} > 0.02 * n_sampled THEN '{label}'" for n, label in x.FREQUENT.items()]
     return on_sentences(f"""SELECT section, n_sampled, {shares}, CASE {' '.join(arms)} ELSE 'unclear' END AS inferred_identity, sample_text
 FROM (SELECT section, count(*) AS n_sampled, {counts}, string_agg(left(sentence, 100), ' || ' ORDER BY rn) FILTER (rn <= 3) AS sample_text
   FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY md5('42|' || sentenceID), sentenceID, sentence) AS rn
         FROM sentences WHERE length(sentence) > 50) WHERE {limit} GROUP BY section)""")
 
 
-@catalog.query("t5_section_fingerprint", fingerprint_sql("rn <= 500"))
+@catalog.query("t5_section_fingerprint", fingerprint_sql("TRUE"))
 def _(t):
     return x.fingerprint(t.sentences)
 
 
-@catalog.query("t5_section_fingerprint_all_rows", fingerprint_sql("TRUE"))
+@catalog.query("t5_section_fingerprint_of_sample", fingerprint_sql("rn <= 500"))
 def _(t):
-    return x.fingerprint(t.sentences, sample=None)
+    """The report on a replayable sample of each section, which is what its ``sample`` is for."""
+    return x.fingerprint(t.sentences, sample=500)
 
 
 WORDS = "len(regexp_extract_all(coalesce({c}, ''), '[^ \\t\\n\\x0B\\f\\r]+'))"

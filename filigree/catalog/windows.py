@@ -176,6 +176,20 @@ def _(t):
     return cumulative(t, hot_rows=0)
 
 
+DOUBLES = """SELECT event_id, CAST(row_number() OVER u AS BIGINT) AS row_num, (sum(CAST(value AS DECIMAL(38,10))) OVER u)::DOUBLE AS running_sum,
+  lag(value) OVER u AS previous FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
+
+
+@catalog.query("w12_cumulative_doubles", DOUBLES)
+def _(t):
+    return w.running(t.events, ["user_id"], ["ts", "event_id"], "value").select("event_id", "row_num", "running_sum", "previous")
+
+
+@catalog.query("w12_cumulative_doubles_by_ranges", DOUBLES)
+def _(t):
+    return w.running(t.events, ["user_id"], ["ts", "event_id"], "value", hot_rows=0).select("event_id", "row_num", "running_sum", "previous")
+
+
 @catalog.query(
     "w13_position_in_document",
     on_sentences("""SELECT sentenceID, sentence, d - 1 AS pos_in_doc, row_number() OVER (PARTITION BY docID, section ORDER BY d) - 1 AS pos_in_sect,

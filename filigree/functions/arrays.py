@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,6 +13,12 @@ def distinct_sorted(list_column: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(list_column))))
 
 
+def merge_lists(df: DataFrame, keys: Sequence[str], list_column: str, name: str) -> DataFrame:
+    """Per group one sorted list of the distinct items of all lists; only distinct items are brought together."""
+    items = df.select(*keys, F.explode(list_column).alias(name)).distinct()
+    return items.groupBy(*keys).agg(F.array_sort(F.collect_list(name)).alias(name))
+
+
 def joined_values(value: Column, separator: str = ",") -> Column:
     """Aggregate: distinct values in order as one text."""
     return F.array_join(F.array_sort(F.collect_set(value)), separator)

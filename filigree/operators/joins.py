@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
+def broadcast_up_to(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Mark ``df`` for broadcast only when its values take at most ``max_bytes``.
 
-    The check reads at most ``max_rows + 1`` rows; a larger side is returned
-    unmarked and joins by shuffle.
+    The size is one combined aggregate; text counts its bytes, any other value 16. A larger
+    side is returned unmarked and joins by shuffle.
     """
-    few = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) + 16 if kind == "string" else F.lit(16) for c, kind in df.dtypes]
+    total = df.agg(F.sum(reduce(lambda a, b: a + b, sizes).cast("bigint")).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if total <= max_bytes else df
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -63,24 +64,47 @@ def list_contains_join(left: DataFrame, right: DataFrame, key: str, list_column:
     return left.join(items, left[key] == items["_item"], how).drop("_item")
 
 
+def _pieces(text: Column, size: int) -> Column:
+    """All different substrings of ``size`` characters."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, F.lit(size))))
+
+
+def contains_join(names: DataFrame, patterns: DataFrame, name: str, pattern: str, sizes: Sequence[int] = (3, 2, 1)) -> DataFrame:
+    """Pairs of rows where ``name`` contains ``pattern``, for any number of patterns.
+
+    A pattern is looked up by one piece of three characters (of its length if it is shorter): the
+    one that the fewest names have. Names and patterns meet by an equi-join on that piece and are
+    then verified, so neither side is compared with the whole other side. An empty pattern is
+    contained in every name; a null matches nothing. The column names of both sides must differ.
+    """
+    texts = patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct()
+    own = names.where(F.col(name).isNotNull())
+    found = None
+    for size in sizes:
+        fits = F.length(pattern) >= size if size == max(sizes) else F.length(pattern) == size
+        wanted = texts.where(fits).select(pattern, F.explode(_pieces(F.col(pattern), size)).alias("_piece"))
+        held = own.where(F.length(name) >= size).select(name).distinct().select(name, F.explode(_pieces(F.col(name), size)).alias("_piece"))
+        usual = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+        rarest = wanted.join(usual, "_piece").groupBy(pattern).agg(F.min(F.struct("_n", "_piece")).alias("_r"))
+        met = held.join(rarest.select(pattern, F.col("_r._piece").alias("_piece")), "_piece")
+        pairs = met.where(F.contains(F.col(name), F.col(pattern))).select(name, pattern)
+        found = pairs if found is None else found.unionByName(pairs)
+    found = found.unionByName(own.select(name).distinct().join(F.broadcast(texts.where(F.length(pattern) == 0)), how="cross"))  # one row
+    return names.join(found.distinct(), name).join(patterns, pattern)
+
+
 def any_of_join(
     suspects: DataFrame, dim: DataFrame, suspect_key: str, dim_key: str, id_pair: tuple[str, str],
-    name_pair: tuple[str, str], item_pair: tuple[str, str], max_patterns: int = 10_000,
+    name_pair: tuple[str, str], item_pair: tuple[str, str],
 ) -> DataFrame:
     """Pairs (suspect_key, dim_key) where ids agree, the name contains a pattern, or a list holds an item.
 
-    An OR condition would become a nested loop over everything. Two branches are
-    equi-joins. The containment branch needs a nested loop; the pattern list is
-    broadcast, and its size is checked first. Larger lists are refused instead of
-    being cut.
+    An OR condition would become a nested loop over everything; each branch is an equi-join.
     """
     pair = [suspect_key, dim_key]
     by_id = suspects.join(dim, suspects[id_pair[0]] == dim[id_pair[1]]).select(*pair)
     by_item = list_contains_join(suspects, dim, item_pair[0], item_pair[1]).select(*pair)
-    patterns = suspects.select(suspect_key, name_pair[0]).distinct()
-    if patterns.limit(max_patterns + 1).count() > max_patterns:
-        raise ValueError(f"more than {max_patterns} name patterns; match by id or list item first")
-    by_name = dim.join(
-        F.broadcast(patterns), F.contains(F.upper(F.col(name_pair[1])), F.col(name_pair[0]))
-    ).select(*pair)
+    named = dim.select(dim_key, F.upper(F.col(name_pair[1])).alias("_name")).distinct()
+    patterns = suspects.select(suspect_key, F.col(name_pair[0]).alias("_pattern")).distinct()
+    by_name = contains_join(named, patterns, "_name", "_pattern").select(*pair)
     return by_id.unionByName(by_item).unionByName(by_name).distinct()

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], chooser) -> DataFrame:
+def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], chooser) -> DataFrame:
     # An aggregate keeps one row per key and task before the shuffle, so a key with
     # very many copies never meets in one task; a ranking window would collect it.
     rest = [c for c in df.columns if c not in key]
@@ -17,12 +17,12 @@ def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], chooser) -> D
 
 
 def first_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key the row that is smallest in ``order``; nulls count as smallest."""
-    return _pick(df, key, order, F.min_by)
+    """Per key the row that is smallest in ``order``; nulls come last."""
+    return _pick(df, key, [x for c in order for x in (F.col(c).isNull(), F.col(c))], F.min_by)
 
 
 def last_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key the row that is largest in ``order``."""
+    """Per key the row that is largest in ``order``; nulls come last."""
     return _pick(df, key, order, F.max_by)
 
 

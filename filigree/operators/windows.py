@@ -18,6 +18,7 @@ from filigree.operators.joins import null_safe_join
 from filigree.session import cut_lineage
 
 _INDEX_BITS = 33
+_EXACT = "_exact"
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -43,8 +44,13 @@ def running(
 ) -> DataFrame:
     """Add the 1-based position in the group; with ``value`` also ``running_sum`` and ``previous``.
 
-    ``order`` should be unique inside a group.
+    ``order`` should be unique inside a group. Doubles are added as decimals of ten places, so that
+    the sum does not depend on the order of the additions or on the plan.
     """
+    if value is not None and df.schema[value].dataType.typeName() in ("double", "float"):
+        kind = df.schema[value].dataType.simpleString()
+        exact = running(df.withColumn(_EXACT, F.col(value).cast("decimal(27,10)")), keys, order, _EXACT, position, hot_rows)
+        return exact.withColumns({c: F.col(c).cast(kind) for c in ("running_sum", "previous")}).drop(_EXACT)
     if largest_group(df, keys) <= hot_rows:
         ordered = Window.partitionBy(*keys).orderBy(*[sort_key(c) for c in order])
         out = df.withColumn(position, F.row_number().over(ordered).cast("bigint"))
@@ -85,7 +91,9 @@ def _running_by_ranges(
         upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         here = F.sum(value).over(upto)
         before = F.col("_sum_before")
-        new["running_sum"] = F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0)))
+        if value == _EXACT:  # one digit less, so that the addition keeps all places
+            here, before = here.cast("decimal(37,10)"), before.cast("decimal(37,10)")
+        new["running_sum"] = F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0).cast("decimal(37,10)") if value == _EXACT else F.lit(0)))
         first = F.row_number().over(local) == 1
         new["previous"] = F.when(first, F.col(f"_last_before.{value}")).otherwise(F.lag(value).over(local))
     return out.withColumns(new).select(*df.columns, *new)

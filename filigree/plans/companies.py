@@ -233,12 +233,14 @@ def match_by_ticker(targets: DataFrame, dim: DataFrame) -> DataFrame:
     """Targets whose ticker is listed for a company; of several the latest filer, then the larger one."""
     wanted = targets.filter(F.coalesce("ticker", F.lit("")) != "").withColumn("_t", F.upper("ticker"))
     found = dim.select("cik_int", "all_tickers", "latest_filing_date", "n_filings")
+    # Targets without an id are told apart by their other columns.
+    own = F.when(F.col("cik").isNull(), F.to_json(F.struct(*TARGET_COLUMNS)))
     pairs = list_contains_join(wanted, found, "_t", "all_tickers").withColumns(
-        {"target_cik": F.col("cik"), "_lowest": -F.col("cik_int")}
+        {"target_cik": F.col("cik"), "_own": own, "_lowest": -F.col("cik_int")}
     )
     best = last_by_key(
-        pairs.select("target_cik", "cik_int", "latest_filing_date", "n_filings", "_lowest", *TARGET_COLUMNS),
-        ["target_cik"],
+        pairs.select("target_cik", "_own", "cik_int", "latest_filing_date", "n_filings", "_lowest", *TARGET_COLUMNS),
+        ["target_cik", "_own"],
         ["latest_filing_date", "n_filings", "_lowest"],
     )
     return best.select(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filigree.functions.bins import iso_in_years
+
 # The flag patterns of the sampled fact; (?i) marks those that ignore case.
 LIKELY_KPI = (
     r"(?i)\b(revenue|sales|gross margin|operating margin|net margin|cost|expense|income|earnings|ebitda|cash flow|"
@@ -117,7 +121,8 @@ def kpi_sentences(df: DataFrame, years: list[str], min_chars: int = 100) -> Data
     The company count covers the years and sections alone. It is aggregated and joined
     back instead of being a window, so a company with very many rows is not one task.
     """
-    chosen = df.filter(F.substring("reportDate", 1, 4).isin(years) & F.col("section").isin(*KPI_SECTIONS))
+    wanted = reduce(lambda a, b: a | b, [iso_in_years(F.col("reportDate"), int(y), int(y)) for y in years], F.lit(False))
+    chosen = df.filter(wanted & F.col("section").isin(*KPI_SECTIONS))
     totals = chosen.groupBy("name").agg(F.count(F.lit(1)).alias("company_total_sentences"))
     marked = chosen.withColumns(
         {

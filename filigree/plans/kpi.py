@@ -12,8 +12,9 @@ from filigree.functions.numbers import round_half_away
 from filigree.operators.keyed import first_by_key
 from filigree.operators.numbering import global_row_number
 
-# Value, percent, year and quarter patterns and the multipliers of units.
-CURRENCY = r"(?i)\$?([\d,]+(?:\.\d+)?)\s*(billion|million|bn|mn|B|M)"
+# Value, percent, year and quarter patterns and the multipliers of units. Units stand
+# from long to short, so that the raw value keeps "bn"; a unit ends with its word ("12 buildings" is none).
+CURRENCY = r"(?i)\$?([\d,]+(?:\.\d+)?)\s*(billion|million|bn|mn|B|M)\b"
 PERCENT = r"([\d,]+(?:\.\d+)?)\s*%"
 YEAR = r"\b((?:19|20)\d{2})\b"
 QUARTER = r"(?i)\b(Q[1-4])\s*(?:19|20)?\d{2}\b"
@@ -26,6 +27,7 @@ KPI_COLUMNS = (
 )
 
 
+# The words that tell kinds of figures apart stand in this function.
 def kpi_type(text: Column) -> Column:
     """Kind of figure a text talks about, by the first group of words it contains."""
     low = F.lower(text)
@@ -45,14 +47,18 @@ def kpi_type(text: Column) -> Column:
     )
 
 
-def extract_kpis(df: DataFrame, confidence: float = 0.5, answer_chars: int = 200, sentence_chars: int = 300) -> DataFrame:
+def extract_kpis(df: DataFrame, confidence: float = 0.5, answer_chars: int | None = None, sentence_chars: int | None = None) -> DataFrame:
     """One record per scaled amount in a sentence, with type, year and provenance.
 
     A unit counts also when it is glued to the number ("$2.5B"). The year is the first
     four-digit year of the sentence, else that of the report date. The whole sentence is
-    searched; the two text columns of the record hold its beginning.
+    searched and kept; a length cuts the text column of that name.
     """
     sentence = F.col("sentence")
+
+    def text(chars: int | None) -> Column:
+        return sentence if chars is None else F.left(sentence, F.lit(chars))
+
     amounts = df.select("*", F.explode(F.regexp_extract_all(sentence, F.lit(CURRENCY), F.lit(0))).alias("value_raw"))
     digits = F.replace(F.regexp_extract("value_raw", CURRENCY, 1), F.lit(","), F.lit(""))
     unit = F.upper(F.regexp_extract("value_raw", CURRENCY, 2))
@@ -64,8 +70,8 @@ def extract_kpis(df: DataFrame, confidence: float = 0.5, answer_chars: int = 200
         "value_raw",
         F.coalesce(year, F.left("reportDate", F.lit(4)), F.lit("")).alias("year"),
         F.lit(confidence).alias("confidence"),
-        F.left(sentence, F.lit(answer_chars)).alias("source_answer"),
-        F.left(sentence, F.lit(sentence_chars)).alias("original_sentence"),
+        text(answer_chars).alias("source_answer"),
+        text(sentence_chars).alias("original_sentence"),
         "sentenceID", "cik",
         first_item(F.col("tickers")).alias("ticker"),
         F.col("name").alias("company"),

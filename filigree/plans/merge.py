@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from filigree.operators.joins import broadcast_up_to
 from filigree.operators.keyed import dedupe_last, upsert
 from filigree.operators.numbering import append_numbers
 from filigree.sinks.versions import VersionedTable
+from filigree.sinks.writers import append_log
+from filigree.sources.readers import read_csv_log
 
 # Incoming names and what they are called in the base, columns that the base
 # does not have, and columns that can be computed instead of read.
@@ -174,7 +177,7 @@ def aligned_increment(base: DataFrame, increment: DataFrame) -> DataFrame:
 
 def merged_rows(
     base: DataFrame, increment: DataFrame, key: str, tie_break: Sequence[str], base_is_unique: bool = False,
-    max_broadcast_keys: int = 2_000_000,
+    max_broadcast_bytes: int = 32 << 20,
 ) -> DataFrame:
     """Base and aligned increment with one row per key; the increment wins.
 
@@ -186,43 +189,108 @@ def merged_rows(
     if not base_is_unique:
         return dedupe_last([base, aligned], [key], tie_break)
     newest = dedupe_last([aligned], [key], tie_break)
-    replaced = broadcast_up_to(newest.select(key), max_broadcast_keys)
+    replaced = broadcast_up_to(newest.select(key), max_broadcast_bytes)
     return base.join(replaced, key, "left_anti").select(*base.columns).unionByName(newest)
 
 
+def preflight(inputs: dict[str, DataFrame], key: str) -> None:
+    """Raise ``MergeRejected`` before any work unless every input is readable, has the key and has rows."""
+    for name, df in inputs.items():
+        if key not in df.columns:
+            raise MergeRejected(f"{name} has no column {key}")
+        if df.select(key).isEmpty():
+            raise MergeRejected(f"{name} has no rows")
+
+
+def merge_parts(spark: SparkSession, increment: DataFrame, out: VersionedTable, key: str, tie_break: Sequence[str]) -> tuple[int, int, int]:
+    """Merge into a table written by partition, rewriting only the partitions the increment falls into.
+
+    Returns the staged version and the rows of the replaced partitions before and after. The gates
+    read the new partitions; the others have passed them before. The increment's keys are looked for
+    in the other partitions, of which only the key column is read: a key that is found there breaks
+    the rule that the key determines the partition, and the merge is rejected.
+    """
+    newest = out.versions(spark)[-1]
+    current = out.read_version(spark, newest)
+    aligned = aligned_increment(current, increment)
+    touched = out.touched(aligned)
+    base = current.where(touched)
+    astray = current.where(~F.coalesce(touched, F.lit(False))).join(broadcast_up_to(aligned.select(key).distinct(), 32 << 20), key, "left_semi")
+    if not astray.isEmpty():
+        raise MergeRejected(f"keys of the increment lie in other partitions of {out.by}")
+    version = out.stage(merged_rows(base, increment, key, tie_break, base_is_unique=True), over=newest)
+    before = base.count()
+    try:
+        facts = check_merge(out.read_version(spark, version, own=True), key, before + aligned.count())
+    except MergeRejected:
+        out.discard(spark, version)
+        raise
+    return version, before, int(facts["final_rows"])
+
+
+# The columns of the merge log, in order.
+HISTORY = "run_at timestamp, merge_type string, base_rows bigint, incr_rows bigint, final_rows bigint, duplicates_removed bigint, year_min bigint, year_max bigint, companies bigint, extra_columns string, duration_sec double, version bigint, status string"
+
+
+def merge_history(spark: SparkSession, path: str) -> DataFrame:
+    """All logged merges."""
+    return read_csv_log(spark, path, HISTORY)
+
+
+def _log(spark: SparkSession, stats: MergeStats, path: str, status: str) -> None:
+    row = (datetime.now(timezone.utc), stats.merge_type, stats.base_rows, stats.incr_rows, stats.final_rows, stats.duplicates_removed, stats.year_min, stats.year_max, stats.companies, ",".join(stats.extra_columns), stats.duration_sec, stats.version, status)
+    append_log(spark.createDataFrame([row], HISTORY), path)
+
+
 def merge_job(
     spark: SparkSession, historical: DataFrame, increment: DataFrame, out: VersionedTable, key: str,
     tie_break: Sequence[str], year: str | None = None, company: str | None = None, sort: Sequence[str] = (),
+    history: str | None = None,
 ) -> MergeStats:
     """Merge an increment into the newest version, or into ``historical`` on the first run.
 
     A published version has passed the gates, so its keys are unique and it is merged
-    without grouping it again. The merged rows are written once to a new, unpublished version; the gates read that
-    version, and only then is it published. A failed gate leaves the old version current.
+    without grouping it again; a table with partitions rewrites only those the increment falls
+    into. The merged rows are written once to a new, unpublished version; the gates read that
+    version, and only then is it published. A failed gate removes it and leaves the old version
+    current. With ``history`` a row is added to the log at that path.
     """
     start = time.time()
     current = out.read(spark)
     base = historical if current is None else current
     kind = "initial_bootstrap" if current is None else "incremental_update"
-    merged = merged_rows(base, increment, key, tie_break, base_is_unique=current is not None)
-    if sort:
-        merged = merged.repartitionByRange(*[F.col(c) for c in sort]).sortWithinPartitions(*sort)
+    extra = extra_columns(rename_incoming(increment), base.schema)
     base_rows, incr_rows = base.count(), increment.count()
-    version = out.stage(merged)
-    written = out.read_version(spark, version)
-    facts = check_merge(written, key, base_rows + incr_rows)
-    stats = MergeStats(
-        kind, base_rows, incr_rows, int(facts["final_rows"]), base_rows + incr_rows - int(facts["final_rows"]),
-        extra_columns=extra_columns(rename_incoming(increment), base.schema), version=version,
-    )
+    stats = MergeStats(kind, base_rows, incr_rows, base_rows, incr_rows, extra_columns=extra)
+    try:
+        if out.by and current is not None:
+            version, before, after = merge_parts(spark, increment, out, key, tie_break)
+            final = base_rows - before + after
+        else:
+            merged = merged_rows(base, increment, key, tie_break, base_is_unique=current is not None)
+            if sort:
+                merged = merged.repartitionByRange(*[F.col(c) for c in sort]).sortWithinPartitions(*sort)
+            version = out.stage(merged)
+            try:
+                final = int(check_merge(out.read_version(spark, version), key, base_rows + incr_rows)["final_rows"])
+            except MergeRejected:
+                out.discard(spark, version)
+                raise
+    except MergeRejected:
+        if history:
+            _log(spark, stats, history, "rejected")
+        raise
+    stats.final_rows, stats.duplicates_removed, stats.version = final, base_rows + incr_rows - final, version
     wanted = [F.min(year).alias("lo"), F.max(year).alias("hi")] if year else []
     wanted += [F.countDistinct(company).alias("companies")] if company else []
     if wanted:
-        summary = written.agg(*wanted).first().asDict()
+        summary = out.read_version(spark, version).agg(*wanted).first().asDict()
         stats.year_min, stats.year_max = summary.get("lo"), summary.get("hi")
         stats.companies = summary.get("companies")
     out.publish(spark, version)
     stats.duration_sec = round(time.time() - start, 2)
+    if history:
+        _log(spark, stats, history, "published")
     return stats
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filigree.operators.windows import running
+
 SCHEMA = "step_number int, step_name string, status string, row_count bigint, message string, execution_time timestamp"
 
 
@@ -29,6 +31,8 @@ def step_durations(
     log: DataFrame, order: Sequence[str] = ("step_number",), time: str = "execution_time", run: Sequence[str] = ()
 ) -> DataFrame:
     """Seconds since the previous step of the same run; null for the first."""
-    steps = Window.partitionBy(*run).orderBy(*order)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    return log.withColumn("step_seconds", (micros - F.lag(micros).over(steps)) / F.lit(1e6))
+    timed = log.withColumns({"_us": micros, "_all": F.lit(1)})
+    # ``running`` splits a run that holds most of the log.
+    placed = running(timed, [*run] or ["_all"], order, "_us", "_at")
+    return placed.select(*log.columns, ((F.col("_us") - F.col("previous")) / F.lit(1e6)).alias("step_seconds"))

@@ -221,7 +221,7 @@ def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 def join_back(
     ids: DataFrame, corpus: DataFrame, sections: DataFrame, version: str, source: str,
-    key: str = "sentenceID", max_broadcast_ids: int = 2_000_000,
+    key: str = "sentenceID", max_broadcast_bytes: int = 32 << 20,
 ) -> DataFrame:
     """Sampled ids with all corpus columns, section metadata, text measures and audit columns.
 
@@ -229,7 +229,7 @@ def join_back(
     corpus; repeated ids are dropped first, so copies of a key cannot multiply rows.
     """
     wanted = ids.select(key, "temporal_bin", "sampling_rate_pct").distinct()
-    rows = corpus.join(broadcast_up_to(wanted, max_broadcast_ids), key)
+    rows = corpus.join(broadcast_up_to(wanted, max_broadcast_bytes), key)
     dim = sections.select(
         F.col("hf_section_code").alias("_code"),
         F.col("sec_item_canonical").alias("section_name"),

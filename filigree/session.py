@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def get_session(app: str = "filigree", cores: int | str = "*") -> SparkSession:
-    """A local session with the settings the library is tested under."""
+def get_session(app: str = "filigree", cores: int | str = "*", checkpoints: str | None = None) -> SparkSession:
+    """A local session with the settings the library is tested under; ``checkpoints`` is its shared folder."""
     partitions = "8" if cores == "*" else str(cores)
+    builder = SparkSession.builder if checkpoints is None else SparkSession.builder.config(CHECKPOINT_KEY, checkpoints)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
@@ -48,9 +49,21 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its staged tables."""
+    return f"{shared_dir(spark)}/filigree/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/filigree/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the folder of this application."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete everything this application has staged; call it when no result is read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(conf).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

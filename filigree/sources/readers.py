@@ -91,40 +91,19 @@ def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, position bigint, column_name string, data_type string")
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    columns = ["path", "row_group", "n_rows", "compressed_bytes", "n_columns"]
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            uri = path if "://" in path else "file://" + path.removeprefix("file:")
-            system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-            meta = pq.read_metadata(name, filesystem=system)
-            for g in range(meta.num_row_groups):
-                group = meta.row_group(g)
-                packed = sum(group.column(c).total_compressed_size for c in range(group.num_columns))
-                rows.append((path, g, group.num_rows, packed, meta.num_columns))
-        yield pd.DataFrame(rows, columns=columns)
-
-
-def row_groups(spark: SparkSession, *paths: str) -> DataFrame:
-    """Rows and compressed bytes of every row group; only footers are read, by the executors."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    files = reader.load(list(paths)).select("path")
-    return files.repartition("path").mapInPandas(
-        _footers, "path string, row_group bigint, n_rows bigint, compressed_bytes bigint, n_columns bigint"
-    )
-
+def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
+    """Per data file: rows, bytes, mean bytes of a row and time of the last change, from Spark's file metadata.
 
-def row_group_summary(groups: DataFrame) -> DataFrame:
-    """Per file: row groups, rows, rows per group and compressed bytes."""
-    return groups.groupBy("path").agg(
-        F.count(F.lit(1)).alias("n_row_groups"),
-        F.sum("n_rows").alias("total_rows"),
-        F.avg("n_rows").alias("mean_rows_per_group"),
-        F.sum("compressed_bytes").alias("compressed_bytes"),
+    Only the row count is read from the files, not their columns. Spark does not expose single
+    row groups; the splits it plans stand in for them: their number and mean rows.
+    """
+    scanned = spark.read.parquet(*paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_block_start").alias("split"),
+    )
+    return scanned.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("bytes").alias("bytes"), F.max("changed").alias("changed"),
+        (F.max("bytes") / F.count(F.lit(1))).alias("bytes_per_row"), F.min("split").alias("first_split"), F.max("split").alias("last_split"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from filigree.plans.merge import merged_rows
+from filigree.plans.merge import merge_parts, merged_rows
 from filigree.sinks.versions import VersionedTable
 
 
@@ -23,18 +23,19 @@ def file_stream(
 def first_rows_of_stream(stream: DataFrame, n: int, out: str, checkpoint: str) -> DataFrame:
     """The first ``n`` rows a stream delivers, stored below ``out``.
 
-    Batches are stored until ``n`` rows are there; later batches are skipped.
+    Batches are stored until ``n`` rows are there; later batches are skipped. What is stored is
+    counted in ``out`` itself, so a restarted or repeated batch does not overshoot.
     """
     spark = stream.sparkSession
-    stored = {"rows": 0}
+    schema = stream.schema
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        missing = n - stored["rows"]
+        path = f"{out}/batch={batch_id}"
+        # A repeated batch overwrites its own folder, so its own rows do not count.
+        batch.limit(0).write.mode("overwrite").parquet(path)
+        missing = n - spark.read.schema(schema).parquet(out).count()
         if missing > 0:
-            # A repeated batch overwrites its own folder.
-            path = f"{out}/batch={batch_id}"
             batch.limit(missing).write.mode("overwrite").parquet(path)
-            stored["rows"] += spark.read.parquet(path).count()
 
     query = (
         stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -49,14 +50,19 @@ def merge_stream(
     """Merge every batch into the newest version of ``out``, starting from ``base``.
 
     A batch that is repeated after a failure merges the same keys again; because the
-    increment always wins, the result does not change. Readers see whole versions only.
+    increment always wins, the result does not change. Readers see whole versions only. A table
+    with partitions rewrites only those that a batch falls into.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         current = out.read(spark)
-        first = current is None
-        out.write(merged_rows(base if first else current, batch, key, tie_break, base_is_unique=not first))
+        if current is None:
+            out.write(merged_rows(base, batch, key, tie_break))
+        elif out.by:
+            out.publish(spark, merge_parts(spark, batch, out, key, tie_break)[0])
+        else:
+            out.write(merged_rows(current, batch, key, tie_break, base_is_unique=True))
 
     query = (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -11,10 +11,11 @@ for folder in (ROOT, ROOT / "tools"):
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from filigree.session import get_session
+def spark(tmp_path_factory):
+    from filigree.session import drop_stages, get_session
 
-    session = get_session("tests", 4)
+    session = get_session("tests", 4, f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_stages(session)
     session.stop()

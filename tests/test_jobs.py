@@ -176,6 +176,35 @@ def test_merge_job_and_gates(spark, tmp_path):
     with pytest.raises(m.MergeRejected):
         m.merge_job(spark, hist, bad, out, "sentenceID", ["report_year"])
     assert out.read(spark).count() == 3 and None not in {r["sentenceID"] for r in out.read(spark).collect()}
+    assert out.versions(spark, published=False) == out.versions(spark)  # the rejected version is gone
+    with pytest.raises(m.MergeRejected):
+        m.preflight({"increment": incr.limit(0)}, "sentenceID")
+    with pytest.raises(m.MergeRejected):
+        m.preflight({"increment": incr.drop("sentenceID")}, "sentenceID")
+    m.preflight({"historical": hist, "increment": incr}, "sentenceID")
+
+
+def test_a_merge_keeps_the_files_of_untouched_partitions(spark, tmp_path):
+    out = VersionedTable(str(tmp_path / "fact"), by="report_year")
+    log = str(tmp_path / "log")
+    hist = base_frame(spark, [(f"k{y}{i}", "old", y, "1") for y in (2017, 2018, 2019) for i in range(5)])
+    m.merge_job(spark, hist, hist.limit(0), out, "sentenceID", ["sentence"], history=log)
+    before = {p.relative_to(tmp_path): p.stat().st_mtime_ns for p in (tmp_path / "fact").rglob("*.parquet")}
+    incr = base_frame(spark, [("k20183", "new", 2018, "2"), ("k2018x", "new", 2018, "2"), ("k20201", "new", 2020, "2")])
+    stats = m.merge_job(spark, hist, incr, out, "sentenceID", ["sentence"], history=log)
+    assert (stats.base_rows, stats.final_rows, stats.duplicates_removed) == (15, 17, 1)
+    parts = out.parts(spark, stats.version)
+    assert {k for k, v in parts.items() if v.startswith("version=1/")} == {"report_year=2017", "report_year=2019"}
+    assert all((tmp_path / p).stat().st_mtime_ns == t for p, t in before.items())
+    got = {r["sentenceID"]: r["sentence"] for r in out.read(spark).collect()}
+    assert len(got) == 17 and got["k20183"] == "new" and got["k20190"] == "old"
+    with pytest.raises(m.MergeRejected):  # a key that would move to another partition
+        m.merge_job(spark, hist, base_frame(spark, [("k20171", "moved", 2019, "2")]), out, "sentenceID", ["sentence"], history=log)
+    with pytest.raises(m.MergeRejected):
+        m.merge_job(spark, hist, base_frame(spark, [(None, "x", 2018, "2")]), out, "sentenceID", ["sentence"], history=log)
+    assert out.read(spark).count() == 17 and len(out.versions(spark, published=False)) == 2
+    history = m.merge_history(spark, log).orderBy("run_at").collect()
+    assert [h["status"] for h in history] == ["published", "published", "rejected", "rejected"] and history[1]["final_rows"] == 17
 
 
 @pytest.mark.parametrize("few", [0, 100])
@@ -183,7 +212,7 @@ def test_merging_into_unique_keys_equals_grouping(spark, few):
     base = base_frame(spark, [(f"k{i}", "old", 2018, "1") for i in range(30)])
     incr = base_frame(spark, [(f"k{i % 12 + 20}", f"new{i}", 2019, "2") for i in range(24)])
     grouped = m.merged_rows(base, incr, "sentenceID", ["sentence"])
-    joined = m.merged_rows(base, incr, "sentenceID", ["sentence"], base_is_unique=True, max_broadcast_keys=few)
+    joined = m.merged_rows(base, incr, "sentenceID", ["sentence"], base_is_unique=True, max_broadcast_bytes=few)
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, grouped.collect()))
 
 
@@ -236,11 +265,32 @@ def test_selection_with_null_weights(spark):
     assert picked[0]["version"] == "v2.0_prod_4companies"
 
 
-def test_first_rows_of_stream_stops(spark, tmp_path):
-    spark.range(100).repartition(5).write.parquet(str(tmp_path / "in"))
-    stream = st.file_stream(spark, str(tmp_path / "in"), spark.range(1).schema, files_per_batch=1)
-    got = st.first_rows_of_stream(stream, 30, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert got.select("id").distinct().count() == 30
+def test_first_rows_of_stream_stops_also_after_a_restart(spark, tmp_path):
+    spark.range(20).repartition(2).write.parquet(str(tmp_path / "in"))
+    read = lambda: st.first_rows_of_stream(st.file_stream(spark, str(tmp_path / "in"), spark.range(1).schema, files_per_batch=1), 30, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert read().select("id").distinct().count() == 20
+    spark.range(20, 100).repartition(5).write.mode("append").parquet(str(tmp_path / "in"))
+    assert read().select("id").distinct().count() == 30
+    assert read().count() == 30
+
+
+def test_targets_without_id_or_score(spark):
+    dim = spark.createDataFrame([(7, ["T"], "2020-01-01", 3), (8, ["U"], "2020-01-01", 3)], "cik_int int, all_tickers array<string>, latest_filing_date string, n_filings int")
+    make = lambda rows: spark.createDataFrame(rows, "cik string, company_name string, ticker string, source string, tier string, weight_pct double, quality_score double")
+    none = make([(None, "One", "T", "notable", "x", 1.0, None), (None, "Two", "U", "notable", "x", 1.0, None)])
+    assert {r["company_name"] for r in c.resolve_entities(none, dim).collect()} == {"One", "Two"}
+    tied = make([("7", "Unscored", None, "notable", "x", None, None), ("07", "Scored", None, "notable", "x", 5.0, None)])
+    assert [r["company_name"] for r in c.resolve_entities(tied, dim).collect()] == ["Scored"]
+
+
+def test_amounts_need_a_whole_unit(spark):
+    texts = ["12 buildings", "in 1999 before", "10 months", "up 3 by", "$2.5B more", "5 bn", "7m.", "8 Million"]
+    df = spark.createDataFrame([("1", "Co", ["T"], "d", str(i), 8, s, "2020-01-01") for i, s in enumerate(texts)], "cik string, name string, tickers array<string>, docID string, sentenceID string, section int, sentence string, reportDate string")
+    got = {r["sentenceID"]: r["value"] for r in kpi.extract_kpis(df).collect()}
+    assert got == {"4": 2.5e9, "5": 5e9, "6": 7e6, "7": 8e6}
+    long = df.limit(1).withColumn("sentence", F.concat(F.lit("3 million "), F.repeat(F.lit("x"), 900)))
+    assert len(kpi.extract_kpis(long).first()["source_answer"]) == 910
+    assert len(kpi.extract_kpis(long, answer_chars=20).first()["source_answer"]) == 20
 
 
 def test_sampling_run_with_injection(spark, tmp_path):

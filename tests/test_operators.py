@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-import pyarrow.parquet as pq
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from filigree.operators import joins as j
 from filigree.operators import keyed as k
 from filigree.operators import windows as w
 from filigree.operators.aggregates import quantiles
+from filigree.operators.keyed import first_by_key, last_by_key
 from filigree.operators.numbering import append_numbers, global_row_number
 from filigree.operators.schemas import check_required, compare_schemas, schema_verdict
 from filigree.plans.features import add_flags, drop_flags
@@ -72,23 +74,48 @@ def test_not_in_is_null_aware(spark, listed, expected):
     assert [v["k"] for v in j.not_in(df, keys, "k").collect()] == expected
 
 
-def test_broadcast_only_below_the_checked_count(spark):
+def test_broadcast_only_below_the_checked_size(spark):
     df = spark.range(100)
 
     def plan(part):
         return part._jdf.queryExecution().logical().toString()
 
-    assert "hint" in plan(j.broadcast_up_to(df, 100)).lower()
-    assert "hint" not in plan(j.broadcast_up_to(df, 99)).lower()
+    assert "hint" in plan(j.broadcast_up_to(df, 1600)).lower()
+    assert "hint" not in plan(j.broadcast_up_to(df, 1599)).lower()
+    text = spark.createDataFrame([("é" * 500,), (None,)], "s string")
+    assert "hint" not in plan(j.broadcast_up_to(text, 1000)).lower()
 
 
-def test_too_many_patterns_are_refused(spark):
-    listed = spark.createDataFrame([(1, 1, "A", "T"), (2, 2, "B", "U")], "sid int, cik int, p string, t string")
-    dim = spark.createDataFrame([(7, "XA", ["U"])], "cik_int int, name string, tickers array<string>")
+def test_any_of_three_conditions(spark):
+    listed = spark.createDataFrame([(1, 1, "A", "T"), (2, 2, "B", "U"), (3, 9, None, None), (4, 9, "", None)], "sid int, cik int, p string, t string")
+    dim = spark.createDataFrame([(7, "xa", ["U"])], "cik_int int, name string, tickers array<string>")
     pairs = j.any_of_join(listed, dim, "sid", "cik_int", ("cik", "cik_int"), ("p", "name"), ("t", "tickers"))
-    assert rows(pairs) == [(1, 7), (2, 7)]
-    with pytest.raises(ValueError):
-        j.any_of_join(listed, dim, "sid", "cik_int", ("cik", "cik_int"), ("p", "name"), ("t", "tickers"), max_patterns=1)
+    assert rows(pairs) == [(1, 7), (2, 7), (4, 7)]
+
+
+def test_contains_join_with_very_many_patterns(spark):
+    rng = random.Random(1)
+    word = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    names = [word(rng.randint(0, 14)) for _ in range(300)] + [None, ""]
+    patterns = sorted({word(rng.randint(1, 7)) for _ in range(20_000)}) + [None, ""]
+    left = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, name string")
+    right = spark.createDataFrame([(k, p) for k, p in enumerate(patterns)], "k int, pattern string")
+    got = {(r.i, r.k) for r in j.contains_join(left, right, "name", "pattern").collect()}
+    assert got == {(i, k) for i, n in enumerate(names) for k, p in enumerate(patterns) if n is not None and p is not None and p in n}
+
+
+def test_running_sums_of_doubles_on_both_paths(spark):
+    rng = random.Random(2)
+    data = [(k % 3, k, rng.uniform(-1e6, 1e6) if k % 7 else 0.1) for k in range(900)]
+    df = spark.createDataFrame(data, "g int, o int, x double").repartition(5)
+    plain, ranges = ({tuple(r) for r in w.running(df, ["g"], ["o"], "x", hot_rows=h).select("g", "o", "row_num", "running_sum", "previous").collect()} for h in (10**6, 0))
+    assert plain == ranges
+
+
+def test_nulls_come_last_when_choosing_rows(spark):
+    df = spark.createDataFrame([("a", None, "unscored"), ("a", 5, "scored"), ("b", None, "only"), ("a", 9, "worse")], "k string, o int, v string")
+    assert {(r.k, r.v) for r in first_by_key(df, ["k"], ["o"]).collect()} == {("a", "scored"), ("b", "only")}
+    assert {(r.k, r.v) for r in last_by_key(df, ["k"], ["o"]).collect()} == {("a", "worse"), ("b", "only")}
 
 
 def test_keyed_changes(spark):
@@ -178,14 +205,31 @@ def test_versions_publish_and_retention(spark, tmp_path):
     assert table.versions(spark) == [2, 3] and table.read(spark).count() == 3
     table.publish(spark, staged)
     assert table.read(spark).count() == 99
+    rejected = table.stage(spark.range(5))
+    table.discard(spark, rejected)
+    assert table.versions(spark, published=False) == [3, 4]
+    with pytest.raises(ValueError):
+        table.discard(spark, 4)
+
+
+def test_versions_by_partition_share_folders(spark, tmp_path):
+    table = VersionedTable(str(tmp_path / "t"), max_versions=1, by="p")
+    table.write(spark.createDataFrame([(1, "a", "01"), (2, "b", "02"), (3, "c", None)], "k long, v string, p string"))
+    first = table.parts(spark, 1)
+    staged = table.stage(spark.createDataFrame([(2, "B", "02"), (9, "n", "09")], "k long, v string, p string"), over=1)
+    assert rows(table.read_version(spark, staged, own=True)) == [(2, "B", "02"), (9, "n", "09")]
+    table.publish(spark, staged)
+    after = table.parts(spark, staged)
+    assert after["p=01"] == first["p=01"] and after["p=02"] != first["p=02"] and table.versions(spark) == [2]
+    assert rows(table.read(spark)) == [(1, "a", "01"), (2, "B", "02"), (3, "c", None), (9, "n", "09")]
+    assert not (tmp_path / "t" / first["p=02"]).exists() and (tmp_path / "t" / first["p=01"]).exists()
 
 
 def test_files(spark, tmp_path):
     path = writers.write_parquet(spark.range(5000).repartition(3), str(tmp_path / "p"), block_bytes=1 << 20)
-    groups = r.row_groups(spark, path).collect()
-    metas = [pq.read_metadata(f) for f in (tmp_path / "p").glob("*.parquet")]
-    assert sum(g["n_rows"] for g in groups) == 5000 and len(groups) == sum(m.num_row_groups for m in metas)
-    assert all(g["compressed_bytes"] > 0 for g in groups)
+    files = r.file_inventory(spark, path).collect()
+    real = {f.name: f.stat().st_size for f in (tmp_path / "p").glob("*.parquet")}
+    assert sum(f["n_rows"] for f in files) == 5000 and {f["path"].rsplit("/")[-1]: f["bytes"] for f in files} == real
     (tmp_path / "t.json").write_text('{"0":{"cik_str":320193,"ticker":"AAPL","title":"Apple Inc."},"1":{"cik_str":7,"ticker":"X","title":"Y"}}')
     assert set(rows(r.read_ticker_map(spark, str(tmp_path / "t.json")))) == {(7, "X", "Y"), (320193, "AAPL", "Apple Inc.")}
     (tmp_path / "h.csv").write_text('Fund Name:,SPDR\nName,Ticker\nHoldings:,As of 15-Oct-2025\n Apple , AAPL ,1,2,"1,006.5",Tech,"1,234",USD\nCash,-,,,,,,\n')
