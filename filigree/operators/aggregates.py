@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,16 @@ def count_distinct_grain(df: DataFrame, group: Sequence[str], keys: Sequence[str
     )
 
 
+def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row with the exact number of distinct values of each column, under its new name.
+
+    Each column is scanned and shuffled on its own, distinct values only; one aggregate with
+    several distinct counts would copy every row once for each column.
+    """
+    parts = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias(name)) for c, name in columns.items()]
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # one row each
+
+
 def long_form(one_row: DataFrame, name: str, value: str, columns: Sequence[str], kind: str) -> DataFrame:
     """One-row aggregate as (name, value) rows."""
     pairs = [F.struct(F.lit(c).alias(name), F.col(c).cast(kind).alias(value)) for c in columns]
@@ -66,18 +77,19 @@ def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
 def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: position, type, nulls, null share, distinct values and the smallest value as text.
 
-    Exact distinct counts expand every row once per column; ``exact=False`` uses
-    sketches and needs one pass without a row-sized shuffle.
+    Exact distinct counts take a narrow scan per column; ``exact=False`` uses sketches and
+    needs one pass without a row-sized shuffle.
     """
-    distinct = F.countDistinct if exact else F.approx_count_distinct
     facts = []
     for i, (c, _) in enumerate(df.dtypes):
         facts += [
             F.count_if(F.col(c).isNull()).alias(f"_nulls_{i}"),
-            distinct(F.col(c)).alias(f"_unique_{i}"),
+            *([] if exact else [F.approx_count_distinct(F.col(c)).alias(f"_unique_{i}")]),
             F.min(F.col(c).cast("string")).alias(f"_sample_{i}"),
         ]
     one = df.agg(F.count(F.lit(1)).alias("_rows"), *facts)
+    if exact:
+        one = one.crossJoin(F.broadcast(distinct_counts(df, {c: f"_unique_{i}" for i, c in enumerate(df.columns)})))  # one row each
     rows = [
         F.struct(
             F.lit(i + 1).cast("bigint").alias("position"),
@@ -95,9 +107,8 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def grain_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Labelled rows: total rows, then the distinct values of each key."""
-    facts = df.agg(
-        F.count(F.lit(1)).alias("total_rows"), *[F.countDistinct(k).alias(f"unique_{k}") for k in keys]
-    )
+    total = df.agg(F.count(F.lit(1)).alias("total_rows"))
+    facts = total.crossJoin(F.broadcast(distinct_counts(df, {k: f"unique_{k}" for k in keys})))  # one row each
     return long_form(facts, "metric", "count", facts.columns, "bigint")
 
 

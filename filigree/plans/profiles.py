@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from filigree.functions.bins import FIVE_BINS, THREE_BINS, Bin, temporal_bin, year_span
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.text import split_count
-from filigree.operators.aggregates import quantiles
+from filigree.operators.aggregates import distinct_counts, quantiles
 from filigree.operators.joins import semi
 from filigree.plans.sampling import quality_predicate
 
@@ -42,14 +42,14 @@ def _share(count: str) -> Column:
 def corpus_scale(df: DataFrame, first: int, last: int) -> DataFrame:
     """One row: sentences, distinct ids, companies, filings and years in a year window."""
     kept = df.filter(F.col("report_year").between(first, last))
-    per_id = kept.groupBy("sentenceID", "cik", "docID", "report_year").agg(F.count(F.lit(1)).alias("n"))
-    return per_id.agg(
+    filings = kept.groupBy("cik", "docID", "report_year").agg(F.count(F.lit(1)).alias("n"))
+    facts = filings.agg(
         F.sum("n").alias("total_sentences"),
-        F.countDistinct("sentenceID").alias("unique_sentences"),
         F.countDistinct("cik").alias("total_companies"),
         F.countDistinct("docID").alias("total_filings"),
         F.countDistinct("report_year").alias("years_covered"),
-    ).withColumns(
+    ).crossJoin(F.broadcast(distinct_counts(kept, {"sentenceID": "unique_sentences"})))  # one row each
+    return facts.select("total_sentences", "unique_sentences", "total_companies", "total_filings", "years_covered").withColumns(
         {
             "millions": round_half_away(F.col("total_sentences") / 1e6, 2),
             "hours_at_10k": round_half_away(F.col("total_sentences") / 1e4, 1),
