@@ -55,6 +55,9 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -68,10 +71,9 @@ class Encoder:
         cores = [w.rstrip(b".,") for w in fresh]
         cores = [c if c and c[-1:].isalnum() else w for c, w in zip(cores, fresh, strict=True)]
         tails = [w[len(c) :] for c, w in zip(cores, fresh, strict=True)]
-        parts = list({*cores, *tails})
+        parts = sorted({*cores, *tails}, key=lambda x: not x.decode("utf-8", "replace").isalpha())  # words of letters first
         at = dict(zip(parts, range(len(parts)), strict=True))
-        found = self.library.encode([x.decode("utf-8", "replace") for x in parts], is_pretokenized=True, add_special_tokens=False)
-        ids, sizes = np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(parts))
+        ids, sizes = self.ask([x.decode("utf-8", "replace") for x in parts])
         starts = np.cumsum(sizes) - sizes
         both = np.empty(2 * len(fresh), np.int64)
         both[0::2] = np.fromiter(map(at.__getitem__, cores), np.int64, len(fresh))
@@ -83,6 +85,27 @@ class Encoder:
         self.sizes = np.concatenate([self.sizes, lengths])
         self.ids = np.concatenate([self.ids, new])
 
+    def ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of all words, and the number of ids of each; words of letters come first."""
+        n = next((k for k, w in enumerate(words) if not w.isalpha()), len(words))
+        ids, sizes = self.ask_letters(words[:n])
+        if n == len(words):
+            return ids, sizes
+        rest = self.library.encode(words[n:], is_pretokenized=True, add_special_tokens=False)
+        counts = np.bincount(np.array(rest.word_ids, np.int64), minlength=len(words) - n)
+        return np.concatenate([ids, np.array(rest.ids, np.uint32)]), np.concatenate([sizes, counts])
+
+    def ask_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A word of letters is one unit of the vocabulary's splitting, so all go in as one text whose word-end ids part them."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        sizes = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        if len(sizes) != len(words):  # lower-casing can turn a letter into a letter and a mark
+            found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
+            return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+        return ids, sizes
+
     def encode(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``END``, and the number of ids of each."""
         if len(self.place) > REMEMBERED:
