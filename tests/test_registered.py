@@ -16,7 +16,10 @@ REPRESENTATIVE = (
     "w11_average_tie_rank", "w12_cumulative_by_ranges", "fn_date_format_chain", "prj2_rename_drop_reorder", "src5_holdings_sheet",
     "snk8_versions_keep_newest", "p11_schema_comparison_with_fill", "p13_merge_projection", "p15_notable_selection", "p31_filing_sizes",
     "p33_company_probe", "t1_top_ngrams_by_language", "t2_near_duplicates_by_section", "t3_kpi_signal_scan",
-    "k1_kpi_records", "st2_unique_on_ingest",
+    "k1_kpi_records", "k3_kpi_report", "st1_streaming_merge", "st2_unique_on_ingest", "src3_file_inventory", "src8_union_of_splits",
+    "src9_first_rows_of_stream", "p8_merge_into_partitions", "p8_merge_history", "p9_dedupe_sentences", "p17_resolved_entities",
+    "p20_coverage_summary", "p30_corpus_scale", "a15_src2_column_profile", "a18_grain_check", "t5_section_fingerprint",
+    "t7_guessed_text_columns_stats", "w12_cumulative_doubles", "w12_cumulative_doubles_by_ranges", "p39_join_quality",
 )
 NAMES = sorted(oracle_sql()) if os.environ.get("FILIGREE_ALL") else REPRESENTATIVE
 
