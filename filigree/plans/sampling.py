@@ -14,6 +14,7 @@ from filigree.functions.text import blank_count, char_count, row_hash
 from filigree.operators.joins import broadcast_up_to, null_safe_join, semi
 from filigree.operators.numbering import global_row_number
 from filigree.operators.windows import top_per_group
+from filigree.session import cut_lineage
 
 # Numbers first: the sort compares a number before it compares text.
 STRATA = ("cik_int", "report_year", "section", "temporal_bin")
@@ -225,10 +226,11 @@ def join_back(
 ) -> DataFrame:
     """Sampled ids with all corpus columns, section metadata, text measures and audit columns.
 
-    Ids are broadcast only below a checked count, which spares shuffling the wide
-    corpus; repeated ids are dropped first, so copies of a key cannot multiply rows.
+    Ids are broadcast only below a checked size, which spares shuffling the wide
+    corpus; repeated ids are dropped first, so copies of a key cannot multiply rows. The
+    distinct ids are written once, for the check and for the join.
     """
-    wanted = ids.select(key, "temporal_bin", "sampling_rate_pct").distinct()
+    wanted = cut_lineage(ids.select(key, "temporal_bin", "sampling_rate_pct").distinct())
     rows = corpus.join(broadcast_up_to(wanted, max_broadcast_bytes), key)
     dim = sections.select(
         F.col("hf_section_code").alias("_code"),
