@@ -186,4 +186,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     groups = near_duplicates(docs, id_col, text_col)
     keep = stage(groups.select("component_id").distinct()).withColumnRenamed("component_id", "_keep")
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")
+    # The ids kept grow with the documents, so they are never broadcast, however few they are.
+    return docs.join(keep.hint("merge"), docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")
