@@ -2,9 +2,9 @@
 
 DataFrame functions only. A line is normalised to its distinct words (letters and digits, lower
 case) in sorted order, so that order and repetition of words do not count. The fingerprint's bit is
-set if more than half of the words' hashes have it; 64 counters travel as 22 sums of three
-lanes, the narrowest of 20 bits, which holds lines of up to a million distinct words. Two normalised lines are linked if their fingerprints differ in at most two bits and their
-edit similarity, ``1 - levenshtein / longer length``, is 0.8 or more.
+set if more than half of the words' hashes have it; the 64 counts of a line are packed into lanes of
+longs and folded inside the row. Two normalised lines are linked if their fingerprints differ in at
+most two bits and their edit similarity, ``1 - levenshtein / longer length``, is 0.8 or more.
 
 Fingerprints within two bits agree on two of four 16-bit blocks, so six keys bring them together.
 Keys of more than ``PAIR_LIMIT`` fingerprints are not paired: such fingerprints meet at the values
@@ -23,13 +23,13 @@ from filigree.llm.common import stage
 from filigree.llm.components import connected_components
 
 MAX_BITS, SIMILARITY, PAIR_LIMIT = 2, 0.8, 32
-LANES = 22
-SPREAD = 1 | 1 << LANES | 1 << 2 * LANES
+HALVES, BYTES = 1 | 1 << 32, 0x0101010101010101  # one bit in each lane
+FEW_WORDS = 127  # fit a byte, also the one that holds the sign
 
 
 def words(line: Column) -> Column:
     """Distinct words of a line in sorted order."""
-    return F.array_sort(F.array_distinct(F.array_remove(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), "")))
+    return F.sort_array(F.array_distinct(F.array_remove(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), "")))
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -38,20 +38,34 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc"), F.posexplode(cut).alias("line_no", "line"))
 
 
+def _bit(b: int, counts: str, lanes: int, width: int, n: str) -> Column:
+    """Bit ``b`` of the fingerprint: set if more than half of the ``n`` hashes have it."""
+    count = F.shiftrightunsigned(f"{counts}{b % lanes}", width * (b // lanes)).bitwiseAND(F.lit((1 << width) - 1))
+    return F.when(count * 2 > F.col(n), F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0))
+
+
+def _counts(lanes: int, spread: int, when: Column, name: str) -> list[Column]:
+    """Counter ``j`` adds up bits ``j``, ``j + lanes``, ... of the hashes, each in a lane of its own."""
+    zero = F.lit(0).cast("bigint")
+
+    def one(j: int) -> Column:
+        return F.aggregate("h", zero, lambda total, h: total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(spread)))
+
+    return [F.when(when, one(j)).alias(f"{name}{j}") for j in range(lanes)]
+
+
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc, line_no, digest, fp)``; both null for lines without words."""
+    """``(doc, line_no, digest, fp)``; both null for lines without words. Nothing is shuffled."""
     listed = lines(docs, id_col, text_col).select("doc", "line_no", words(F.col("line")).alias("w"))
-    keyed = listed.select("doc", "line_no", F.when(F.size("w") > 0, F.unhex(F.md5(F.array_join("w", " ")))).alias("digest"), F.explode_outer("w").alias("word"))
-    hashed = keyed.select("doc", "line_no", "digest", F.xxhash64("word").alias("h"))
-    # Counter j holds bits j, j + 22 and j + 44 of the hashes, 22 bits apart.
-    sums = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(SPREAD))).alias(f"c{j}") for j in range(LANES)]
-    counted = hashed.groupBy("doc", "line_no", "digest").agg(F.count("*").alias("n"), *sums)
-    bits = []
-    for b in range(64):
-        count = F.shiftrightunsigned(f"c{b % LANES}", LANES * (b // LANES)).bitwiseAND(F.lit((1 << LANES) - 1))
-        bits.append(F.when(count * 2 > F.col("n"), F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0)))
-    fp = reduce(lambda x, y: x.bitwiseOR(y), bits)
-    return counted.select("doc", "line_no", "digest", F.when(F.col("digest").isNotNull(), fp).alias("fp"))
+    digest = F.when(F.size("w") > 0, F.unhex(F.md5(F.array_join("w", " "))))
+    hashed = listed.select("doc", "line_no", digest.alias("digest"), F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    # A few words fit byte-wide lanes, eight to a counter; longer lines take two to a counter. Both give the same bits.
+    short = F.col("n") <= FEW_WORDS
+    counted = hashed.select("doc", "line_no", "digest", "n", *_counts(8, BYTES, short, "b"), *_counts(32, HALVES, ~short, "c"))
+    join = lambda bits: reduce(lambda x, y: x.bitwiseOR(y), bits)
+    narrow, wide = join([_bit(b, "b", 8, 8, "n") for b in range(64)]), join([_bit(b, "c", 32, 32, "n") for b in range(64)])
+    fp = F.when(F.col("digest").isNotNull(), F.when(short, narrow).otherwise(wide))
+    return counted.select("doc", "line_no", "digest", fp.alias("fp"))
 
 
 def _close(fps: str) -> Column:

@@ -86,7 +86,7 @@ def brute_lines(docs):
 def test_fuzzy_lines_equal_brute_force(frame):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(400)]
-    lines = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(30, 70))) for _ in range(12)] + ["a a a", "a", "the end", "the man", ""]
+    lines = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(30, 70))) for _ in range(12)] + [" ".join(f"w{k}" for k in range(300)), "a a a", "a", "the end", "the man", ""]
     docs = []
     for i in range(60):
         own = []
