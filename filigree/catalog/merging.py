@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filigree.catalog.registry import Catalog
+from filigree.operators.aggregates import long_form
 from filigree.operators import schemas as sc
 from filigree.operators.keyed import dedupe_last
 from filigree.plans import merge as m
@@ -152,18 +153,17 @@ def two_schemas(t):
     return left, right
 
 
+def filled(df, side):
+    """Filled rows by column."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    return long_form(counts, "column_name", side, df.columns, "bigint")
+
+
 @catalog.query("p11_schema_comparison_with_fill", on_sentences(SCHEMA_COMPARED))
 def _(t):
     """Schema comparison, with the filled rows of each column on both sides."""
-    from filigree.operators.aggregates import long_form
-
     left, right = two_schemas(t)
     compared = sc.compare_schemas(left, right, m.RENAMES, m.DERIVED)
-
-    def filled(df, side):
-        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
-        return long_form(counts, "column_name", side, df.columns, "bigint")
-
     renamed = m.rename_incoming(right, dropped=())
     return (
         compared.join(filled(left, "n_left"), "column_name", "left")
@@ -175,23 +175,29 @@ def _(t):
 @catalog.query(
     "p11_schema_verdict_with_rows",
     on_sentences("""SELECT 6::BIGINT AS left_columns, 6::BIGINT AS right_columns, 2::BIGINT AS matching, 1::BIGINT AS left_only, 1::BIGINT AS right_only,
-  2::BIGINT AS derived, 2::BIGINT AS type_differences, 3::BIGINT AS critical_issues, 'needs_attention' AS verdict, count(*) AS n_rows FROM sentences"""),
+  2::BIGINT AS derived, 2::BIGINT AS type_differences, 3::BIGINT AS critical_issues, 'needs_attention' AS verdict,
+  count(sic) + count(report_year) + count(tickers) + 3 * count(*) AS left_values, count(sic) + count(report_year) + 5 * count(*) AS right_values FROM sentences"""),
 )
 def _(t):
+    """The verdict on both schemas beside the values that both tables hold."""
     left, right = two_schemas(t)
     verdict = sc.schema_verdict(sc.compare_schemas(left, right, m.RENAMES, m.DERIVED))
-    return verdict.crossJoin(F.broadcast(left.agg(F.count(F.lit(1)).alias("n_rows"))))  # one row
+    for df, side in ((left, "left_values"), (right, "right_values")):
+        verdict = verdict.crossJoin(F.broadcast(filled(df, "n").agg(F.sum("n").alias(side))))  # one row
+    return verdict
 
 
 @catalog.query(
     "p12_required_columns_with_rows",
-    on_sentences("""SELECT v.column_name, in_left, in_right, status, (SELECT count(*) FROM sentences) AS n_rows FROM (VALUES
-  ('docID', TRUE, FALSE, 'one'), ('reportDate', TRUE, TRUE, 'both'), ('form', FALSE, FALSE, 'none')) AS v(column_name, in_left, in_right, status)"""),
+    on_sentences("""SELECT 'docID' AS column_name, TRUE AS in_left, FALSE AS in_right, 'one' AS status, count(docID) AS n_left, NULL::BIGINT AS n_right FROM sentences
+UNION ALL SELECT 'reportDate', TRUE, TRUE, 'both', count(reportDate), count(reportDate) FROM sentences
+UNION ALL SELECT 'form', FALSE, FALSE, 'none', NULL, NULL"""),
 )
 def _(t):
+    """Required columns, where they are, and how many rows have them filled."""
     left, right = two_schemas(t)
     checked = sc.check_required(["docID", "reportDate", "form"], left, right)
-    return checked.crossJoin(F.broadcast(left.agg(F.count(F.lit(1)).alias("n_rows"))))  # one row
+    return checked.join(filled(left, "n_left"), "column_name", "left").join(filled(right, "n_right"), "column_name", "left")
 
 
 TARGET = f"""target AS (
