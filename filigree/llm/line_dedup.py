@@ -23,8 +23,8 @@ from filigree.llm.common import stage
 from filigree.llm.components import connected_components
 
 MAX_BITS, SIMILARITY, PAIR_LIMIT = 2, 0.8, 32
-HALVES, BYTES = 1 | 1 << 32, 0x0101010101010101  # one bit in each lane
-FEW_WORDS = 127  # fit a byte, also the one that holds the sign
+# Lanes by number of words: up to how many the top lane, which holds the sign, can count; bits of a lane.
+LANES = ((127, 8), (2047, 13), (2**31 - 1, 32))
 
 
 def words(line: Column) -> Column:
@@ -38,20 +38,33 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc"), F.posexplode(cut).alias("line_no", "line"))
 
 
-def _bit(b: int, counts: str, lanes: int, width: int, n: str) -> Column:
-    """Bit ``b`` of the fingerprint: set if more than half of the ``n`` hashes have it."""
-    count = F.shiftrightunsigned(f"{counts}{b % lanes}", width * (b // lanes)).bitwiseAND(F.lit((1 << width) - 1))
-    return F.when(count * 2 > F.col(n), F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0))
+def _majority(width: int) -> Column:
+    """The fingerprint from counters of ``width``: a bit is set if more than half of the ``n`` hashes have it.
+
+    A lane gets what it lacks to reach its highest bit at a count of ``n / 2 + 1``, all lanes of a
+    counter in one addition. The top lane is added apart, since it has no room above.
+    """
+    top = width * (63 // width)
+    places = sum(1 << b for b in range(0, top, width))
+    lack = F.lit((1 << (width - 1)) - 1).cast("bigint") - F.shiftright(F.col("n").cast("bigint"), 1)
+
+    def part(j: int) -> Column:
+        counter = F.col(f"c{width}_{j}")
+        low = F.shiftrightunsigned(counter.bitwiseAND(F.lit((1 << top) - 1)) + lack * F.lit(places), width - 1).bitwiseAND(F.lit(places))
+        high = F.shiftrightunsigned(F.shiftrightunsigned(counter, top) + lack, width - 1).bitwiseAND(F.lit(1).cast("bigint"))
+        return F.shiftleft(low.bitwiseOR(F.shiftleft(high, top)), j)
+
+    return reduce(lambda x, y: x.bitwiseOR(y), [part(j) for j in range(width)])
 
 
-def _counts(lanes: int, spread: int, when: Column, name: str) -> list[Column]:
-    """Counter ``j`` adds up bits ``j``, ``j + lanes``, ... of the hashes, each in a lane of its own."""
-    zero = F.lit(0).cast("bigint")
+def _counts(width: int, when: Column) -> list[Column]:
+    """Counter ``j`` adds up bits ``j``, ``j + width``, ... of the hashes, each in a lane of its own."""
+    zero, spread = F.lit(0).cast("bigint"), sum(1 << b for b in range(0, 64, width))
 
     def one(j: int) -> Column:
         return F.aggregate("h", zero, lambda total, h: total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(spread)))
 
-    return [F.when(when, one(j)).alias(f"{name}{j}") for j in range(lanes)]
+    return [F.when(when, one(j)).alias(f"c{width}_{j}") for j in range(width)]
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -59,12 +72,14 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     listed = lines(docs, id_col, text_col).select("doc", "line_no", words(F.col("line")).alias("w"))
     digest = F.when(F.size("w") > 0, F.unhex(F.md5(F.array_join("w", " "))))
     hashed = listed.select("doc", "line_no", digest.alias("digest"), F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
-    # A few words fit byte-wide lanes, eight to a counter; longer lines take two to a counter. Both give the same bits.
-    short = F.col("n") <= FEW_WORDS
-    counted = hashed.select("doc", "line_no", "digest", "n", *_counts(8, BYTES, short, "b"), *_counts(32, HALVES, ~short, "c"))
-    join = lambda bits: reduce(lambda x, y: x.bitwiseOR(y), bits)
-    narrow, wide = join([_bit(b, "b", 8, 8, "n") for b in range(64)]), join([_bit(b, "c", 32, 32, "n") for b in range(64)])
-    fp = F.when(F.col("digest").isNotNull(), F.when(short, narrow).otherwise(wide))
+    # The fewer words, the narrower the lanes and the fewer counters to fold; the bits are the same.
+    counters, fp, above = [], F.lit(None).cast("bigint"), 0
+    for most, width in LANES:
+        fits = F.col("n").between(above + 1, most)
+        counters += _counts(width, fits)
+        fp = F.when(fits, _majority(width)).otherwise(fp)
+        above = most
+    counted = hashed.select("doc", "line_no", "digest", "n", *counters)
     return counted.select("doc", "line_no", "digest", fp.alias("fp"))
 
 
@@ -119,7 +134,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     compared = candidates.select("x", "y").join(texts.select(F.col("digest").alias("x"), F.col("text").alias("s")), "x").join(texts.select(F.col("digest").alias("y"), F.col("text").alias("t")), "y")
     longer = F.greatest(F.length("s"), F.length("t"))
     allowed = F.floor(longer * F.lit(1 - SIMILARITY) + F.lit(1e-9))
-    near = compared.where(F.abs(F.length("s") - F.length("t")) <= allowed).where(F.levenshtein("s", "t") <= allowed)
+    # Taking out the words of one line and putting in those of the other is one way to edit it; where
+    # that is short enough already, the distance itself need not be found.
+    s_words, t_words = F.split("s", " "), F.split("t", " ")
+    taken, put = F.array_except(s_words, t_words), F.array_except(t_words, s_words)
+    at_most = F.length(F.array_join(taken, " ")) + F.size(taken) + F.length(F.array_join(put, " ")) + F.size(put)
+    fits = compared.withColumn("allowed", allowed.cast("int")).where(F.abs(F.length("s") - F.length("t")) <= F.col("allowed"))
+    near = fits.where(F.when(at_most <= F.col("allowed"), True).otherwise(F.expr("levenshtein(s, t, allowed) >= 0")))
     found = stage(connected_components(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
     labelled = nodes.join(found, nodes.digest == found.node, "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
     heads = labelled.groupBy("component").agg(F.min("first").alias("head"))

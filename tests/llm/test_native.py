@@ -149,3 +149,12 @@ def test_water_filling_by_hand(spark):
     sizes = spark.createDataFrame([("a", "a", 10), ("b", "b", 100), ("c", "c", 1000)], "key string, source string, source_size long")
     got = {r.key: r.target for r in mixing.targets(sizes).collect()}
     assert got == {"a": 30.0, "b": 300.0, "c": 780.0}
+
+
+def test_line_fingerprints_with_few_and_many_words(frame):
+    """The lanes of every width count alike."""
+    texts = {n: " ".join(f"w{n}x{k}" for k in range(n)) for n in (1, 2, 127, 128, 300, 2047, 2048, 5000)}
+    got = {r.doc: r.fp % (1 << 64) for r in line_dedup.occurrences(frame(list(texts.items()))).collect()}
+    for n, text in texts.items():
+        hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(text.split())]
+        assert got[n] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
