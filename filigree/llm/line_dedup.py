@@ -1,9 +1,10 @@
 """Fuzzy line duplicates: SimHash, pigeonhole blocks, edit similarity, one occurrence for each group.
 
-DataFrame functions only. A line is normalised to its distinct words (letters and digits, lower
-case) in sorted order, so that order and repetition of words do not count. The fingerprint's bit is
-set if more than half of the words' hashes have it; the 64 counts of a line are packed into lanes of
-longs and folded inside the row. Two normalised lines are linked if their fingerprints differ in at
+DataFrame functions only. A line is normalised to its words (letters and digits, lower case): with
+``in_order``, as the query has it, in the line's order with repeats, else to its distinct words in
+sorted order, so that order and repetition do not count. The fingerprint's bit is set if more than
+half of the distinct words' hashes have it; the 64 counts of a line are packed into lanes of longs
+and folded inside the row. Two normalised lines are linked if their fingerprints differ in at
 most two bits and their edit similarity, ``1 - levenshtein / longer length``, is 0.8 or more.
 
 Fingerprints within two bits agree on two of four 16-bit blocks, so six keys bring them together.
@@ -32,6 +33,11 @@ def words(line: Column) -> Column:
     return F.sort_array(F.array_distinct(F.array_remove(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), "")))
 
 
+def normal(line: Column) -> Column:
+    """The words of a line in their order, repeats included, parted by single blanks."""
+    return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}\\p{N}]+", " "))
+
+
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc, line_no, line)`` for every line of every row; a null text is one empty line."""
     cut = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)
@@ -67,10 +73,11 @@ def _counts(width: int, when: Column) -> list[Column]:
     return [F.when(when, one(j)).alias(f"c{width}_{j}") for j in range(width)]
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
     """``(doc, line_no, digest, fp)``; both null for lines without words. Nothing is shuffled."""
-    listed = lines(docs, id_col, text_col).select("doc", "line_no", words(F.col("line")).alias("w"))
-    digest = F.when(F.size("w") > 0, F.unhex(F.md5(F.array_join("w", " "))))
+    compared = normal(F.col("line")) if in_order else F.array_join("w", " ")
+    listed = lines(docs, id_col, text_col).select("doc", "line_no", "line", words(F.col("line")).alias("w"))
+    digest = F.when(F.size("w") > 0, F.unhex(F.md5(compared)))
     hashed = listed.select("doc", "line_no", digest.alias("digest"), F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
     # The fewer words, the narrower the lanes and the fewer counters to fold; the bits are the same.
     counters, fp, above = [], F.lit(None).cast("bigint"), 0
@@ -104,23 +111,25 @@ def close_fingerprints(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataF
     return both.select(F.explode(_close("fps")).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, in_order: bool = False) -> DataFrame:
     """``(digest, text)`` of the normalised lines at ``wanted(doc, line_no, digest)``."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "digest")).alias("at"))
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     found = own.join(per_doc, own["_id"].eqNullSafe(per_doc["doc"])).select(F.split(F.coalesce("_text", F.lit("")), "\n", -1).alias("cut"), F.explode("at").alias("at"))
-    text = F.array_join(words(F.get("cut", F.col("at.line_no"))), " ")
+    line = F.get("cut", F.col("at.line_no"))
+    text = normal(line) if in_order else F.array_join(words(line), " ")
     picked = found.select(F.col("at.digest").alias("digest"), text.alias("text"))
     return picked.where(F.unhex(F.md5("text")) == F.col("digest")).dropDuplicates(["digest"])
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
     """``(doc, line_no, digest, kept)`` for every line; of a group the first occurrence is kept.
 
     First means the smallest id, then the smallest line number; a null id comes first. Lines without
-    words are always kept.
+    words are always kept. With ``in_order`` the edit similarity is that of the words in their order
+    with repeats, as the lines have them; else that of the sorted distinct words.
     """
-    seen = stage(occurrences(docs, id_col, text_col))
+    seen = stage(occurrences(docs, id_col, text_col, in_order))
     worded = seen.where("digest is not null")
     first = F.min(F.struct("doc", "line_no")).alias("first")
     nodes = stage(worded.groupBy("digest", "fp").agg(first))
@@ -130,17 +139,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     right = nodes.select(F.col("fp").alias("b"), F.col("digest").alias("y"), F.col("first").alias("y_first"))
     candidates = stage(pairs.unionByName(alike).join(left, "a").join(right, "b").where("a <> b or x < y"))
     wanted = candidates.select(F.explode(F.array(F.struct(F.col("x").alias("digest"), F.col("x_first").alias("first")), F.struct(F.col("y").alias("digest"), F.col("y_first").alias("first")))).alias("e")).distinct()
-    texts = stage(_texts(docs, wanted.select("e.first.doc", "e.first.line_no", "e.digest"), id_col, text_col))
+    texts = stage(_texts(docs, wanted.select("e.first.doc", "e.first.line_no", "e.digest"), id_col, text_col, in_order))
     compared = candidates.select("x", "y").join(texts.select(F.col("digest").alias("x"), F.col("text").alias("s")), "x").join(texts.select(F.col("digest").alias("y"), F.col("text").alias("t")), "y")
     longer = F.greatest(F.length("s"), F.length("t"))
     allowed = F.floor(longer * F.lit(1 - SIMILARITY) + F.lit(1e-9))
-    # Taking out the words of one line and putting in those of the other is one way to edit it; where
-    # that is short enough already, the distance itself need not be found.
+    # Taking out the words of one line and putting in those of the other is one way to edit sorted
+    # distinct words; where that is short enough already, the distance itself need not be found.
     s_words, t_words = F.split("s", " "), F.split("t", " ")
     taken, put = F.array_except(s_words, t_words), F.array_except(t_words, s_words)
     at_most = F.length(F.array_join(taken, " ")) + F.size(taken) + F.length(F.array_join(put, " ")) + F.size(put)
     fits = compared.withColumn("allowed", allowed.cast("int")).where(F.abs(F.length("s") - F.length("t")) <= F.col("allowed"))
-    near = fits.where(F.when(at_most <= F.col("allowed"), True).otherwise(F.expr("levenshtein(s, t, allowed) >= 0")))
+    verified = F.expr("levenshtein(s, t, allowed) >= 0")
+    near = fits.where(verified if in_order else F.when(at_most <= F.col("allowed"), True).otherwise(verified))
     found = stage(connected_components(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
     labelled = nodes.join(found, nodes.digest == found.node, "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
     heads = labelled.groupBy("component").agg(F.min("first").alias("head"))
@@ -149,20 +159,20 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return out.unionByName(seen.where("digest is null").select("doc", "line_no", "digest", F.lit(True).alias("kept")))
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
     """``(id_col, n_lines, n_dropped, dropped)`` for every id; ``dropped`` lists line numbers from 0.
 
     Null and empty texts have one line without words. Rows that repeat an id count as one document.
     An empty table gives an empty result; other columns are not read.
     """
     dropped = F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no"))))
-    out = groups(docs, id_col, text_col).groupBy("doc").agg(F.count("*").alias("n_lines"), F.sum((~F.col("kept")).cast("long")).alias("n_dropped"), dropped.alias("dropped"))
+    out = groups(docs, id_col, text_col, in_order).groupBy("doc").agg(F.count("*").alias("n_lines"), F.sum((~F.col("kept")).cast("long")).alias("n_dropped"), dropped.alias("dropped"))
     return out.withColumnRenamed("doc", id_col)
 
 
-def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
     """``docs`` with the dropped lines taken out of the texts, all columns kept; a null text stays null."""
-    report = line_report(docs, id_col, text_col).select(F.col(id_col).alias("_line_id"), F.col("dropped").alias("_dropped"))
+    report = line_report(docs, id_col, text_col, in_order).select(F.col(id_col).alias("_line_id"), F.col("dropped").alias("_dropped"))
     joined = docs.join(report, docs[id_col].eqNullSafe(report["_line_id"]), "left")
     rest = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("_dropped", i))
     return joined.withColumn(text_col, F.array_join(rest, "\n")).select(docs.columns)

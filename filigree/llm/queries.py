@@ -27,7 +27,7 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.line_report(read(spark, folder, "documents"))
+    return line_dedup.line_report(read(spark, folder, "documents"), in_order=True)
 
 
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

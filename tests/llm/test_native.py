@@ -158,3 +158,16 @@ def test_line_fingerprints_with_few_and_many_words(frame):
     for n, text in texts.items():
         hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(text.split())]
         assert got[n] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+
+
+
+def test_lines_in_order(frame):
+    """Equal word sets are no link by themselves: the lines as they stand are compared."""
+    long = [f"word{k}" for k in range(60)]
+    swapped = [long[1], long[0], *long[2:]]
+    lines = ["Bob paid Alice 10 20", "Alice paid Bob 20 10 10", "ha ha ha", "ha", " ".join(long), " ".join(reversed(long)), " ".join(swapped), "HA, ha: ha!", ""]
+    docs = frame([(1, "\n".join(lines)), (2, "bob paid alice - 10 20\nha ha")])
+    got = {r.doc_id: list(r.dropped) for r in line_dedup.line_report(docs, in_order=True).collect()}
+    assert got == {1: [6, 7], 2: [0]}
+    kept = {r.doc_id: r.text for r in line_dedup.drop_fuzzy_lines(docs, in_order=True).collect()}
+    assert kept[2] == "ha ha" and kept[1].split("\n") == [x for k, x in enumerate(lines) if k not in (6, 7)]
