@@ -14,7 +14,7 @@ source's fraction ends is put in order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filigree.llm.common import stage
@@ -52,6 +52,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: fl
     return filled.select("key", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
+def source_key(source: Column) -> Column:
+    """The name of a source; a null source has one too, which no other source can have."""
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("null"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """``(id_col, size, source_size, target, repeats, taken)`` for every row of ``docs``.
 
@@ -60,7 +65,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     stand in the order of their sizes; rows alike in both are interchangeable. No document is taken
     more than ``max_epochs`` times. An empty table gives an empty result; other columns are not read.
     """
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("null"))
+    return _plan(docs, id_col, text_col, source_col, weights, max_epochs, seed).drop("key")
+
+
+def _plan(docs: DataFrame, id_col: str, text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The rows of ``mix`` with the ``key`` of their source."""
+    key = source_key(F.col(source_col))
     tag = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     rows = stage(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), key.alias("key"), n_words(F.col(text_col)).alias("size"), tag.alias("tag")))
     part = F.substring("tag", 1, DIGITS)
@@ -77,22 +87,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     at_end = placed.where("part = end").withColumn("start", F.col("before") + inside)
     fits = (2 * F.col("start") + F.col("size") <= 2 * F.col("left_over")).cast("long")
     elsewhere = placed.where("part <> end or end is null")
-    columns = ["_id", "size", "source_size", "target", "whole"]
+    columns = ["key", "_id", "size", "source_size", "target", "whole"]
     both = at_end.select(*columns, fits.alias("more")).unionByName(elsewhere.select(*columns, F.coalesce((F.col("part") < F.col("end")).cast("long"), F.lit(0)).cast("long").alias("more")))
     more = F.when((F.col("size") > 0) & (F.col("whole") < max_epochs), F.col("more")).otherwise(0)
     repeats = (F.col("whole") + more).cast("long")
-    return both.select(F.col("_id").alias(id_col), "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"))
+    return both.select("key", F.col("_id").alias(id_col), "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, all columns kept.
 
-    Ids are expected to be unique here; rows without an id are left out, since their repetitions
-    cannot be told apart.
+    Rows alike in id, source and size share what the plan takes of them: they are numbered in the
+    order of their texts, and the first ones have the repetition that is left over. So rows that
+    repeat an id, and rows without one, are each taken their own number of times.
     """
-    plan = mix(docs, id_col, **options).where("repeats > 0").select(F.col(id_col).alias("_mix_id"), F.col("repeats").cast("int").alias("_mix_n"))
-    joined = docs.join(plan, docs[id_col] == plan["_mix_id"])
-    return joined.withColumn("_mix_n", F.explode(F.array_repeat(F.lit(1), F.col("_mix_n")))).select(*[docs[c] for c in docs.columns])
+    plan = _plan(docs, id_col, text_col, source_col, **options)
+    alike = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_mix_id"), F.col(id_col).isNull().alias("_mix_none")]
+    shares = plan.select(*alike, F.col("key").alias("_mix_key"), F.col("size").alias("_mix_size"), "repeats")
+    names = ["_mix_id", "_mix_none", "_mix_key", "_mix_size"]
+    shares = shares.groupBy(*names).agg(F.count("*").alias("_mix_rows"), F.sum("repeats").alias("_mix_taken")).where("_mix_taken > 0")
+    rows = docs.select("*", *alike, source_key(F.col(source_col)).alias("_mix_key"), n_words(F.col(text_col)).alias("_mix_size"), F.xxhash64(F.col(text_col)).alias("_mix_tag"))
+    placed = rows.withColumn("_mix_place", F.row_number().over(Window.partitionBy(*names).orderBy("_mix_tag")))
+    joined = placed.join(shares, names)
+    times = F.expr("cast(_mix_taken div _mix_rows + if(_mix_place <= _mix_taken % _mix_rows, 1, 0) as int)")
+    return joined.withColumn("_mix_n", F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)
 
 
 SQL = f"""

@@ -171,3 +171,24 @@ def test_lines_in_order(frame):
     assert got == {1: [6, 7], 2: [0]}
     kept = {r.doc_id: r.text for r in line_dedup.drop_fuzzy_lines(docs, in_order=True).collect()}
     assert kept[2] == "ha ha" and kept[1].split("\n") == [x for k, x in enumerate(lines) if k not in (6, 7)]
+
+
+
+def test_mix_of_repeated_rows_and_null_ids(frame):
+    """Each row is taken its own number of times, whatever its id."""
+    rows = [(1, "a b c", None, "small"), (1, "a b c", None, "small"), (1, "d e f", None, "big"), (None, "g h", None, "small"), (None, "g h", None, "big"), (None, "i j", None, None)]
+    rows += [(k % 400, "w " * (k % 7), None, "big") for k in range(10, 3000)] + [(None, f"x{k} y z", None, "big") for k in range(300)]
+    docs = frame(rows)
+    plan, out = mixing.mix(docs).collect(), mixing.mixed(docs).collect()
+    assert sum(r.doc_id == 1 and r.source == "small" for r in out) == 6 and sum(r.doc_id is None and r.source == "small" for r in out) == 3
+    want, got, copies = {}, {}, {}
+    for r in plan:
+        want[r.doc_id, r["size"]] = want.get((r.doc_id, r["size"]), 0) + r.repeats
+    for r in out:
+        key = (r.doc_id, len(r.text.split()))
+        got[key] = got.get(key, 0) + 1
+        copies[r.doc_id, r.text, r.source] = copies.get((r.doc_id, r.text, r.source), 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert all(n <= 3 * sum(r == (i, t, None, s) for r in rows) for (i, t, s), n in copies.items())
+    again = mixing.mixed(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))
