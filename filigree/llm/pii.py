@@ -103,12 +103,11 @@ def base_spans(text: str) -> list[Span]:
 def stretches(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Where hidden data could be: stretches of text, apart from each other and from base spans."""
     found = [(m.start(), m.end()) for m in _DIGITS.finditer(text) if len(_digits(m[0])) >= (4 if "[.]" in m[0] or "(.)" in m[0] else 7)]
-    if "dot" in text.lower() or "@" in text:
-        for m in _AT.finditer(text):
-            end = _HIDDEN_DOMAIN.match(text, m.end())
-            begin = _WORD_END.search(text, max(0, m.start() - 64), m.start())
-            if end and begin and (m[0] != "@" or _DOT.search(end[0])):
-                found.append((begin.start(), end.end()))
+    for m in _AT.finditer(text):
+        end = _HIDDEN_DOMAIN.match(text, m.end())
+        begin = _WORD_END.search(text, max(0, m.start() - 64), m.start()) if end else None
+        if begin and (m[0] != "@" or _DOT.search(end[0])):
+            found.append((begin.start(), end.end()))
     out: list[tuple[int, int]] = []
     blocked = sorted((a, b) for _, a, b in taken)
     at = 0
@@ -260,11 +259,12 @@ def disguise(kind: str, span: str, chance: random.Random) -> str:
     """The span as somebody would hide it from the base patterns."""
     if kind == "email":
         at = chance.choice([" at ", " (at) ", "[at]", " [at] ", "(at)", " @ "])
+        plain_dots = at.strip()[0] in "([" and chance.random() < 0.3
         dot = chance.choice([" dot ", " (dot) ", "[dot]", " [dot] ", "(dot)"])
         name, _, domain = span.partition("@")
         if chance.random() < 0.5:  # people's addresses are plainer than generated ones
             name, domain = re.sub(r"[0-9]+", "", name).strip(".") or name, re.sub(r"[0-9]+", "", ".".join(domain.split(".")[-2:]))
-        return name + at + domain.replace(".", dot)
+        return name + at + (domain if plain_dots else domain.replace(".", dot))
     if kind == "ip":
         if chance.random() < 0.5:
             span = ".".join(str(int(256 ** chance.random()) - 1) for _ in range(4))

@@ -207,3 +207,11 @@ def test_personal_data_found_and_added(frame, odd):
     assert digest.n_email == 1 and digest.spans.startswith("email:7:")
     assert pii.find_pii(odd, weights).count() == 10 and pii.find_pii(frame([]), weights).count() == 0
     assert not pii.fit(odd).any()
+
+
+
+def test_addresses_with_plain_dots_are_found(frame):
+    texts = ["write to ann.lee (at) example.com please", "write to ann.lee [at] example.org please", "we met at noon. Then we left at once."]
+    docs = frame([*pii_corpus(), *((900 + k, t) for k, t in enumerate(texts))])
+    got = {r.doc_id - 900: {(s.kind, texts[r.doc_id - 900][s.start : s.end]) for s in r.spans} for r in pii.find_pii(docs, pii.fit(docs)).where("doc_id >= 900").collect()}
+    assert got[0] == {("email", "ann.lee (at) example.com")} and got[1] == {("email", "ann.lee [at] example.org")} and got[2] == set()
