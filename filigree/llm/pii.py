@@ -101,24 +101,37 @@ def base_spans(text: str) -> list[Span]:
 
 
 def stretches(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Where hidden data could be: stretches of text, apart from each other and from base spans."""
+    """Where hidden data could be: stretches of text, apart from each other and from base spans.
+
+    Stretches that overlap are one; base spans are cut out of a stretch, and what is left of it on
+    either side stays.
+    """
     found = [(m.start(), m.end()) for m in _DIGITS.finditer(text) if len(_digits(m[0])) >= (4 if "[.]" in m[0] or "(.)" in m[0] else 7)]
     for m in _AT.finditer(text):
         end = _HIDDEN_DOMAIN.match(text, m.end())
         begin = _WORD_END.search(text, max(0, m.start() - 64), m.start()) if end else None
         if begin and (m[0] != "@" or _DOT.search(end[0])):
             found.append((begin.start(), end.end()))
+    whole: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if whole and a < whole[-1][1]:
+            whole[-1] = (whole[-1][0], max(b, whole[-1][1]))
+        else:
+            whole.append((a, b))
     out: list[tuple[int, int]] = []
     blocked = sorted((a, b) for _, a, b in taken)
     at = 0
-    for a, b in sorted(found):
-        if out and a < out[-1][1]:
-            continue
-        while at < len(blocked) and blocked[at][1] <= a:
+    for a, b in whole:
+        while at < len(blocked) and blocked[at][0] < b:
+            if blocked[at][1] > a:
+                if a < blocked[at][0]:
+                    out.append((a, blocked[at][0]))
+                a = blocked[at][1]
+            if blocked[at][1] >= b:
+                break  # the same base span may reach into the next stretch
             at += 1
-        if at < len(blocked) and blocked[at][0] < b:
-            continue
-        out.append((a, b))
+        if a < b:
+            out.append((a, b))
     return out
 
 

@@ -215,3 +215,31 @@ def test_addresses_with_plain_dots_are_found(frame):
     docs = frame([*pii_corpus(), *((900 + k, t) for k, t in enumerate(texts))])
     got = {r.doc_id - 900: {(s.kind, texts[r.doc_id - 900][s.start : s.end]) for s in r.spans} for r in pii.find_pii(docs, pii.fit(docs)).where("doc_id >= 900").collect()}
     assert got[0] == {("email", "ann.lee (at) example.com")} and got[1] == {("email", "ann.lee [at] example.org")} and got[2] == set()
+
+
+
+def test_stretches_beside_base_spans():
+    cut = lambda text: [text[a:b].strip() for a, b in pii.stretches(text, pii.base_spans(text))]
+    assert cut("212-555-1234, 10.0.0.7") == ["212-555-1234,"]
+    assert cut("10.0.0.7 212-555-1234 10.0.0.8") == ["212-555-1234"]
+    assert cut("(212) 555-1234 / 4111 1111 1111 1111") == ["(212) 555-1234 /"]
+    assert cut("+1 (826) 555-4081 190.137.223.204") == ["+1 (826) 555-4081"]
+    assert cut("write ann (at) example.com") == cut("an anecdote, ann (at) example.com")[-1:] == ["ann (at) example.com"]
+    rng = random.Random(3)
+    parts = ["212-555-1234", "10.0.0.7", "4111 1111 1111 1111", "a@b.co", " at ", "(at)", "x.org", ", ", " ", "+1 212 555 1234", "@", " dot ", "77"]
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))
+        base = pii.base_spans(text)
+        got, whole = pii.stretches(text, base), pii.stretches(text, [])
+        covered = lambda spans: {k for a, b in spans for k in range(a, b)}
+        assert covered(got) == covered(whole) - covered((a, b) for _, a, b in base)
+        assert all(a < b for a, b in got) and all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+
+
+
+def test_neighbours_of_base_spans_are_found(frame):
+    texts = ["call 212-555-1234, 10.0.0.7 now", "on (212) 555-1234 / 4111 1111 1111 1111"]
+    docs = frame([*pii_corpus(), *((900 + k, t) for k, t in enumerate(texts))])
+    got = {r.doc_id - 900: {(s.kind, texts[r.doc_id - 900][s.start : s.end]) for s in r.spans} for r in pii.find_pii(docs, pii.fit(docs)).where("doc_id >= 900").collect()}
+    assert got[0] == {("phone", "212-555-1234"), ("ip", "10.0.0.7")}
+    assert got[1] == {("phone", "(212) 555-1234"), ("card", "4111 1111 1111 1111")}
