@@ -2,11 +2,11 @@
 
 1. *Language model.* Counts of character trigrams over all documents (28 symbols: boundary, a-z, any
    other letter), interpolated with bigrams and single characters.
-2. *Decoding.* A stretch that looks disguised (letters mixed with look-alike signs, a letter three
-   times or more, single letters with gaps) becomes a lattice: each sign may stand for one of its
-   letters or for nothing, a run of a letter for one or two, a gap for nothing or a word boundary.
-   Viterbi finds the cheapest path under channel costs plus the language model. Words with a single
-   path are left as they are. Decodings are remembered by stretch.
+2. *Decoding.* A word, or single letters parted by white space, becomes a lattice: each sign may
+   stand for one of its letters or for nothing, a run of a letter for one or two, a gap for nothing
+   or a word boundary. Viterbi finds the cheapest path under channel costs plus the language model.
+   Words with a single path, letters none of which is doubled, are left as they are. Decodings are
+   remembered by word.
 3. *Score.* A logistic regression on the presence of words and word beginnings in the restored text.
    Its features stand out by their log-likelihood ratio on at most ``SAMPLE`` labelled rows outside
    the held-out fold.
@@ -41,11 +41,9 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 AS_LETTER, DROPPED, EDGE_DROPPED, GAP_DROPPED, GAP_KEPT, ONE_OF_TWO, ONE_OF_MANY, TWO_OF_MANY = 1.0, 9.0, 0.5, 0.3, 1.5, 1.0, 0.7, 0.9
 
 _CODE_OF_BYTE = np.array([c - 96 if 97 <= c <= 122 else c - 64 if 65 <= c <= 90 else 27 if c >= 128 else 0 for c in range(256)], np.int32)
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
-_DISGUISED = re.compile(r"[^\W\d_].*[0-9@$!|+€£]|[0-9@$!|+€£].*[^\W\d_]|([^\W\d_])\1\1", re.S)
-_GAPPED = re.compile(r"(?:[^\W_]|[@$!])(?:[._*~-]+(?:[^\W_]|[@$!])){2,}")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_DOUBLED = re.compile(r"(.)\1")
 _EDGES = re.compile(r"^[^\w@$!|+€£]+|[^\w@$!|+€£]+$|([^\w\s])\1\1$")
-_OTHER = re.compile(r"[\W_]+")
 
 
 def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -98,10 +96,10 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
 
 def decode(stretch: str, costs: np.ndarray) -> str:
     """The cheapest reading of a disguised stretch (Viterbi over its lattice)."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for choices in [*lattice(stretch), [(" ", 0.0)]]:
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in best.items():
+        reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, before) in best.items():
             for piece, price in choices:
                 x, y, total = a, b, cost + price
                 for c in piece:
@@ -109,9 +107,14 @@ def decode(stretch: str, costs: np.ndarray) -> str:
                     total += costs[x, y, z] if (y or z) else 0.0
                     x, y = y, z
                 if (x, y) not in reached or total < reached[x, y][0]:
-                    reached[x, y] = (total, text + piece)
+                    reached[x, y] = (total, (before, piece))
         best = reached
-    return min(best.values())[1].strip()
+    _, last = min(best.values(), key=lambda x: x[0])
+    pieces = []
+    while last:  # pieces are linked, not joined, on the way, so that long words stay linear
+        last, piece = last
+        pieces.append(piece)
+    return "".join(reversed(pieces)).strip()
 
 
 class Restorer(dict):
@@ -123,12 +126,10 @@ class Restorer(dict):
 
     def __missing__(self, word: str) -> str:
         core = _EDGES.sub("", word)
-        if core.isalpha() and not re.search(r"(.)\1\1", core):
+        if not core or core.isalpha() and not _DOUBLED.search(core):
             found = core
-        elif _DISGUISED.search(core) or _GAPPED.fullmatch(core):
-            found = decode(core, self.costs)
         else:
-            found = _OTHER.sub(" ", core).strip()
+            found = decode(core, self.costs)
         if len(self) > REMEMBERED:
             self.clear()
         self[word] = found
@@ -137,7 +138,7 @@ class Restorer(dict):
     def text(self, text: str) -> str:
         """The restored text: lower case, words parted by single spaces, one space at either end."""
         text = text.lower()
-        joined = _SPACED.sub(lambda m: decode(m[0], self.costs), text) if _SPACED.search(text) else text
+        joined = _SPACED.sub(lambda m: decode(" ".join(m[0].split()), self.costs), text) if _SPACED.search(text) else text
         return f" {' '.join(map(self.__getitem__, joined.split()))} "
 
 

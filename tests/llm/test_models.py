@@ -243,3 +243,22 @@ def test_neighbours_of_base_spans_are_found(frame):
     got = {r.doc_id - 900: {(s.kind, texts[r.doc_id - 900][s.start : s.end]) for s in r.spans} for r in pii.find_pii(docs, pii.fit(docs)).where("doc_id >= 900").collect()}
     assert got[0] == {("phone", "212-555-1234"), ("ip", "10.0.0.7")}
     assert got[1] == {("phone", "(212) 555-1234"), ("card", "4111 1111 1111 1111")}
+
+
+
+def test_every_word_with_several_paths_is_decoded(spark, frame):
+    docs, labels = insult_corpus()
+    hidden = ["what a sttupid street", "an iddiott here", "you s  t u p i d", "so s\ti\td i\no t", "the 1d10t", "a stu-pid paper", "5+00p1d"]
+    clean = ["a bb garden", "hello summer", "in 1990 or 2024-01-02"]
+    table = frame([*docs, *((10_000 + k, t) for k, t in enumerate([*hidden, *clean, "i d  i\to\nt", "s\nt\nu\np\ni\nd"]))])
+    model = toxicity.fit(table, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    restorer = toxicity.Restorer(model.costs)
+    assert restorer["sttupid"] == "stupid" and restorer["iddiott"] == "idiot"
+    assert restorer.text("s  t u p i d") == restorer.text("s\tt\nu p i d") == " stupid "
+    assert restorer["57"] == toxicity.decode("57", model.costs) != "57"  # look-alike signs only
+    assert restorer["silver"] == "silver" and restorer["street"] == "street"
+    got = {r.doc_id - 10_000: r.predicted for r in toxicity.score(table, model).collect()}
+    assert [got[k] for k in (0, 1, 2, 4, 5)] == [1] * 5 and [got[len(hidden) + k] for k in range(len(clean))] == [0] * len(clean)
+    assert got[len(hidden) + len(clean)] == got[len(hidden) + len(clean) + 1] == 1
+    long = "ab" * 100_000 + "cc"
+    assert toxicity.decode(long, model.costs).startswith("abab")
