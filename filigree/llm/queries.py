@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, pii, simhash, token_counts, token_files, toxicity
+from filigree.llm import decontaminate, exact_dedup, fill_middle, langid, line_dedup, mixing, periodic_runs, pii, quality, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, vocabulary
 
 
@@ -52,6 +52,19 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest_columns(pii.find_pii(docs, pii.fit(docs)))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digest_columns(fill_middle.fill_in_middle(read(spark, folder, "documents")))
+
+
+def op12_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(read(spark, folder, "documents")).drop("distance")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    planted = periodic_runs.with_planted(read(spark, folder, "documents"))
+    return periodic_runs.digest_columns(periodic_runs.find_runs(planted))
+
+
 QUERIES = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op2_toxicity": op2_toxicity,
@@ -63,9 +76,14 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_quality_outliers": op12_quality_outliers,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL = {
     "op4_exact_dedup": exact_dedup.SQL.strip(),
     "op6_benchmark_decontamination": decontaminate.SQL.strip(),
     "op8_source_mix": mixing.SQL.strip(),
+    "op11_fill_in_middle": fill_middle.SQL.strip(),
+    "op12_quality_outliers": quality.SQL.strip(),
 }
