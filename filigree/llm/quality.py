@@ -52,7 +52,7 @@ CONSISTENT_75, CONSISTENT_975 = 1.41207, 1.05553
 DIMS = range(1, len(VECTOR) + 1)
 PAIRS = [(i, j) for i in DIMS for j in DIMS if j <= i]
 Z = [f"z{j}" for j in DIMS]
-ESTIMATE = [*(f"m{j}" for j in DIMS), *(f"l{i}{j}" for i, j in PAIRS)]
+ESTIMATE = [*(f"m{j}" for j in DIMS), *(f"c{i}{j}" for i, j in PAIRS)]
 FAILED = f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {REPEATED_PERCENT} * n_words"
 
 # Expressions that Spark and the SQL form share: columns by name, in levels that build on the ones before.
@@ -67,18 +67,26 @@ def _spread(factor: float) -> list[Level]:
     return [{f"m{j}": f"cast(s{j} as double) / n" for j in DIMS}, {f"c{i}{j}": f"(cast(p{i}{j} as double) / n - m{i} * m{j}) * cast({factor!r} as double){own(i, j)}" for i, j in PAIRS}]
 
 
-def _root() -> list[Level]:
-    """The lower triangular root of the covariance, column by column, and the determinant's logarithm."""
-    out = []
-    for j in DIMS:
-        rest = {i: f"c{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(1, j)) for i in DIMS if i >= j}
-        out += [{f"l{j}{j}": f"sqrt({rest[j]})"}, {f"l{i}{j}": f"({rest[i]}) / l{j}{j}" for i in rest if i > j}]
-    out[-1] = {"volume": " + ".join(f"ln(l{j}{j})" for j in DIMS)}  # below the last one there is no entry
-    return out
+def _at(i: int, j: int) -> str:
+    return f"c{max(i, j)}{min(i, j)}"
 
 
-ROOT = _root()
-DISTANCE: list[Level] = [{f"y{j}": f"(z{j} - m{j}" + "".join(f" - l{j}{k} * y{k}" for k in range(1, j)) + f") / l{j}{j}"} for j in DIMS] + [{"d2": " + ".join(f"y{j} * y{j}" for j in DIMS)}]
+def _swept(k: int) -> Level:
+    """The covariance after sweeping out column ``k``; after all of them it is the negated inverse."""
+    d = _at(k, k)
+    entry = lambda i, j: f"-1 / {d}" if i == j == k else f"{_at(i, j)} / {d}" if k in (i, j) else f"{_at(i, j)} - {_at(i, k)} * {_at(k, j)} / {d}"
+    return {_at(i, j): entry(i, j) for i, j in PAIRS} | {"volume": f"volume + ln({d})"}
+
+
+SIZE = len(VECTOR)
+# The same sweeps in one expression over the matrix as an array, row by row, with the logarithm of the determinant behind.
+SWEEP = f"""aggregate(sequence(0, {SIZE - 1}), matrix, (c, k) -> transform(c, (x, at) -> case
+    when at = {SIZE * SIZE} then x + ln(c[k * {SIZE + 1}])
+    when at = k * {SIZE + 1} then -1 / c[k * {SIZE + 1}]
+    when cast(floor(at / {SIZE}) as int) = k or at % {SIZE} = k then x / c[k * {SIZE + 1}]
+    else x - c[cast(floor(at / {SIZE}) as int) * {SIZE} + k] * c[k * {SIZE} + at % {SIZE}] / c[k * {SIZE + 1}] end))"""
+OFF = {j: f"(z{j} - m{j})" for j in DIMS}
+DISTANCE: Level = {"d2": "-(" + " + ".join(f"{_at(i, j)} * {OFF[i]} * {OFF[j]}" + (" * 2" if i > j else "") for i, j in PAIRS) + ")"}
 BIN = f"cast(least({BINS}, floor(100 * ln(1 + d2))) as bigint)"
 START: Level = {f"m{j}": f"cast(med{j} as double)" for j in DIMS} | {f"c{i}{j}": f"(1.4826 * mad{i}) * (1.4826 * mad{i}) + {float(FLOORS[i - 1] ** 2)!r}" if i == j else "cast(0 as double)" for i, j in PAIRS}
 NEAR = " and ".join(f"abs(z{j} - med{j}) <= 2.5 * (1.4826 * mad{j} + {FLOORS[j - 1]})" for j in DIMS)
@@ -90,19 +98,32 @@ def _with(df: DataFrame, *levels: Level) -> DataFrame:
     return df
 
 
-def repeated_words(table: DataFrame, words: str, to: str) -> DataFrame:
-    """``table`` with the number of words that lie in a window of ``WINDOW`` words found more than once in the row.
+def _inverted(df: DataFrame) -> DataFrame:
+    """``(key, start, volume)``, means and negated inverse from the covariances of ``df``."""
+    matrix = F.array(*[F.col(_at(i, j)) for i in DIMS for j in DIMS], F.lit(0.0))
+    swept = df.withColumn("matrix", matrix).withColumn("matrix", F.expr(SWEEP))
+    entries = [F.get("matrix", F.lit((i - 1) * SIZE + j - 1)).alias(_at(i, j)) for i, j in PAIRS]
+    return swept.select("key", "start", F.get("matrix", F.lit(SIZE * SIZE)).alias("volume"), *[f"m{j}" for j in DIMS], *entries)
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once for each row."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def repeated_words(words: str) -> Column:
+    """How many words of the array ``words`` lie in a window of ``WINDOW`` words found more than once in it.
 
     Windows are compared by a 64-bit hash inside the row. Only rows in which a hash comes back are
     looked at more closely: hashes are sorted with their places, and the places of equal ones counted up.
     """
-    window = ", ".join(f"{words}[i + {k}]" for k in range(1, WINDOW))
-    hashed = table.withColumn("_g", F.expr(f"if(size({words}) < {WINDOW}, null, transform(slice({words}, 1, size({words}) - {WINDOW - 1}), (x, i) -> xxhash64(x, {window})))"))
-    seen = hashed.withColumn("_often", F.expr("coalesce(size(array_distinct(_g)) < size(_g), false)"))
-    ordered = seen.withColumn("_s", F.expr("case when _often then array_sort(transform(_g, (x, i) -> struct(x as g, i as i))) end"))
-    placed = ordered.withColumn("_at", F.expr("case when _often then array_sort(transform(filter(_s, (e, j) -> get(_s, j - 1).g <=> e.g or get(_s, j + 1).g <=> e.g), e -> e.i)) end"))
-    covered = f"aggregate(transform(_at, (p, j) -> least({WINDOW}, coalesce(get(_at, j + 1) - p, {WINDOW}))), 0L, (total, x) -> total + x)"
-    return placed.withColumn(to, F.expr(f"case when _often then {covered} else 0L end")).drop("_g", "_often", "_s", "_at")
+    window = ", ".join(f"w[i + {k}]" for k in range(1, WINDOW))
+    hashes = f"transform(slice(w, 1, size(w) - {WINDOW - 1}), (x, i) -> xxhash64(x, {window}))"
+    covered = f"aggregate(transform(p, (x, j) -> least({WINDOW}, coalesce(get(p, j + 1) - x, {WINDOW}))), 0L, (total, x) -> total + x)"
+    places = "array_sort(transform(filter(s, (e, j) -> get(s, j - 1).g <=> e.g or get(s, j + 1).g <=> e.g), e -> e.i))"
+    ordered = "array_sort(transform(g, (x, i) -> struct(x as g, i as i)))"
+    often = f"if(size(array_distinct(g)) < size(g), {_bound(ordered, 's', _bound(places, 'p', covered))}, 0L)"
+    return F.expr(_bound(words, "w", f"if(size(w) < {WINDOW}, 0L, {_bound(hashes, 'g', often)})"))
 
 
 def statistics(docs: DataFrame, carried: Column, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -112,14 +133,13 @@ def statistics(docs: DataFrame, carried: Column, text_col: str = "text", lang_co
     split = named.withColumn("w", F.when(F.length(trimmed) > 0, F.split(trimmed, "[ \\t-\\r]+")).otherwise(F.array().cast("array<string>")))
     lines = F.filter(F.split("t", "\n", -1), lambda x: F.length(F.trim(x, F.lit(SPACE))) > 0)
     listed = split.withColumn("lines", lines)
-    counted = repeated_words(listed, "w", "n_repeat_words")
-    wide = counted.select(
+    wide = listed.select(
         "row", "lang", "source",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.regexp_replace("t", "[ \\t-\\r]+", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("t", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        repeated_words("w").alias("n_repeat_words"),
     )
     return wide.withColumn("base_failed", F.expr(FAILED))
 
@@ -147,13 +167,13 @@ def _keyed(table: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _measured(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Rows with the squared distance ``d2`` to each estimate of their group."""
-    return _with(rows.join(estimates.select("key", "start", *ESTIMATE), "key", how), *DISTANCE).drop(*ESTIMATE, *[f"y{j}" for j in DIMS])
+    return _with(rows.join(estimates.select("key", "start", *ESTIMATE), "key", how), DISTANCE).drop(*ESTIMATE)
 
 
 def _moments(rows: DataFrame, factor: float = 1.0) -> DataFrame:
     """The estimates of ``rows``, one for each ``key`` and ``start``, as a written table."""
     summed = rows.groupBy("key", "start").agg(*[F.expr(x).alias(name) for name, x in MOMENTS.items()])
-    return stage(_with(summed, *_spread(factor), *ROOT).select("key", "start", "volume", *ESTIMATE))
+    return stage(_inverted(_with(summed, *_spread(factor))))
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame, factor: float = 1.0) -> DataFrame:
@@ -182,7 +202,7 @@ def estimated(rows: DataFrame) -> DataFrame:
     both = medians.join(_medians(away, "mad"), ["key", "dim"])
     wide = [F.max(F.when(F.col("dim") == j - 1, F.col(name))).alias(f"{name}{j}") for name in ("med", "mad") for j in DIMS]
     middle = stage(both.groupBy("key").agg(*wide))
-    first = _with(middle, START, *ROOT).select("key", F.lit(0).alias("start"), "volume", *ESTIMATE)
+    first = _inverted(_with(middle.withColumn("start", F.lit(0)), START))
     sets = F.expr(f"explode(if({NEAR}, array(1, 2), array(1)))").alias("start")
     others = _moments(rows.join(middle, "key").select("key", *Z, sets))
     estimates = stage(first.unionByName(others))
@@ -235,18 +255,21 @@ def _sql() -> str:
         tables.append((name, body))
         return name
 
-    def nested(source: str, *levels: Level) -> str:
+    def inverted(source: str, *levels: Level) -> str:
         for level in levels:
             source = f"SELECT *, {listed(level)} FROM ({source})"
-        return source
+        source = f"SELECT *, 0.0::DOUBLE AS volume FROM ({source})"
+        for k in DIMS:
+            source = f"SELECT * REPLACE ({listed(_swept(k))}) FROM ({source})"
+        return f"SELECT key, start, volume, {estimate} FROM ({source})"
 
-    def rooted(source: str, factor: float) -> str:
-        return nested(source, *_spread(factor), *ROOT)
+    def measured(source: str) -> str:
+        return f"SELECT *, {listed(DISTANCE)} FROM ({source})"
 
     def concentrated(name: str, before: str, factor: float = 1.0) -> str:
-        near = table(f"{name}_near", f"SELECT key, start, {z}, {BIN} AS bin FROM ({nested(f'SELECT * FROM v JOIN (SELECT key, start, {estimate} FROM {before}) USING (key)', *DISTANCE)})")
+        near = table(f"{name}_near", f"SELECT key, start, {z}, {BIN} AS bin FROM ({measured(f'SELECT * FROM v JOIN (SELECT key, start, {estimate} FROM {before}) USING (key)')})")
         cut = table(f"{name}_cut", f"SELECT key, start, min(bin) AS cut FROM (SELECT key, start, bin, sum(count(*)) OVER (PARTITION BY key, start ORDER BY bin) AS upto, sum(count(*)) OVER (PARTITION BY key, start) AS total FROM {near} GROUP BY key, start, bin) WHERE 4 * upto >= 3 * total GROUP BY key, start")
-        return table(name, rooted(f"SELECT key, start, {moments} FROM {near} JOIN {cut} USING (key, start) WHERE bin <= cut GROUP BY key, start", factor))
+        return table(name, inverted(f"SELECT key, start, {moments} FROM {near} JOIN {cut} USING (key, start) WHERE bin <= cut GROUP BY key, start", *_spread(factor)))
 
     table("d", r"SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents")
     table("g", f"SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)")
@@ -266,19 +289,19 @@ def _sql() -> str:
     table("med", f"SELECT key, {', '.join(f'quantile_disc({c}, 0.5) AS med{j}' for j, c in zip(DIMS, Z, strict=True))} FROM v GROUP BY key")
     table("mid", f"SELECT key, {', '.join(f'any_value(med{j}) AS med{j}, quantile_disc(abs(z{j} - med{j}), 0.5) AS mad{j}' for j in DIMS)} FROM v JOIN med USING (key) GROUP BY key")
     sets = f"SELECT key, 1 AS start, {z} FROM v UNION ALL SELECT key, 2, {z} FROM v JOIN mid USING (key) WHERE {NEAR}"
-    table("e0", f"SELECT key, 0 AS start, volume, {estimate} FROM ({nested('SELECT * FROM mid', START, *ROOT)}) UNION ALL SELECT key, start, volume, {estimate} FROM ({rooted(f'SELECT key, start, {moments} FROM ({sets}) GROUP BY key, start', 1.0)})")
+    table("e0", f"{inverted('SELECT *, 0 AS start FROM mid', START)} UNION ALL {inverted(f'SELECT key, start, {moments} FROM ({sets}) GROUP BY key, start', *_spread(1.0))}")
     last = "e0"
     for k in range(FIRST_STEPS):
         last = concentrated(f"e{k + 1}", last)
     last = table("f0", f"SELECT * FROM {last} QUALIFY row_number() OVER (PARTITION BY key ORDER BY volume, start) = 1")
     for k in range(MORE_STEPS):
         last = concentrated(f"f{k + 1}", last, CONSISTENT_75 if k == MORE_STEPS - 1 else 1.0)
-    inner = f"SELECT key, start, {moments} FROM ({nested(f'SELECT * FROM v JOIN (SELECT key, start, {estimate} FROM {last}) USING (key)', *DISTANCE)}) WHERE d2 <= {INNER} GROUP BY key, start"
-    table("final", rooted(inner, CONSISTENT_975))
+    inner = f"SELECT key, start, {moments} FROM ({measured(f'SELECT * FROM v JOIN (SELECT key, start, {estimate} FROM {last}) USING (key)')}) WHERE d2 <= {INNER} GROUP BY key, start"
+    table("final", inverted(inner, *_spread(CONSISTENT_975)))
     ctes = ",\n".join(f"{a} AS MATERIALIZED ({body})" for a, body in tables)
     return f"""WITH {ctes}
 SELECT doc_id, {', '.join(STATISTICS)}, base_failed, NOT base_failed AND coalesce(d2 <= {REJECT}, true) AS kept
-FROM ({nested(f'SELECT * FROM u LEFT JOIN (SELECT key, {estimate} FROM final) USING (key)', *DISTANCE)})"""
+FROM ({measured(f'SELECT * FROM u LEFT JOIN (SELECT key, {estimate} FROM final) USING (key)')})"""
 
 
 SQL = _sql()

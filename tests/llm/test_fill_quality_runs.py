@@ -198,7 +198,7 @@ def test_repeated_words_with_overlaps(spark):
     rng = random.Random(9)
     rows = [(k, [rng.choice("ab") for _ in range(rng.randint(0, 30))]) for k in range(300)]
     table = spark.createDataFrame(rows, "k long, w array<string>")
-    got = {r.k: r.n for r in quality.repeated_words(table, "w", "n").collect()}
+    got = {r.k: r.n for r in table.select("k", quality.repeated_words("w").alias("n")).collect()}
     assert got == {k: base(" ".join(w))[4] for k, w in rows} and max(got.values()) > 10
 
 
