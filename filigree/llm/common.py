@@ -7,7 +7,9 @@ import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +67,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % FOLDS == HELD_OUT, F.lit(True))
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """A column name that ``df`` does not have for each stem."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while (stem := f"_{stem}").lower() in taken:
+            pass
+        out.append(stem)
+        taken.add(stem.lower())
+    return out
+
+
 def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
     """At most ``rows`` rows, the same ones on every run; only for fitting a model."""
     return df.orderBy(F.xxhash64(*by), *by).limit(rows)
 
 
-def slices(batches: Iterator[pa.RecordBatch], bytes_each: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], bytes_each: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of about ``bytes_each``; a single longer row is a piece of its own.
 
     Keeps what Python holds at a time small whatever the length of the texts.
@@ -90,3 +104,12 @@ def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 def str_texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A text column as strings; null counts as empty."""
     return ["" if x is None else x for x in batch.column(name).to_pylist()]
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and how many each text has; null has none."""
+    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words, owner = cut.flatten(), pc.list_parent_indices(cut)
+    real = pc.not_equal(words, "")
+    sizes = np.bincount(owner.filter(real).to_numpy(zero_copy_only=False), minlength=len(texts))
+    return words.filter(real), sizes

@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF of character n-grams.
 
 Texts are lower-cased, anything but letters becomes one boundary, and n-grams of one to three
-characters are hashed into ``BUCKETS``. Document frequencies count all documents. The weights are
+characters are hashed into ``BUCKETS``. Document frequencies count all documents outside the held-out fold. The weights are
 learned by follow-the-regularised-leader with elastic-net penalties, which leaves most of them zero,
 on at most ``SAMPLE`` labelled rows outside the held-out fold; a fifth of these rows sets the
 temperature instead.
@@ -54,7 +54,7 @@ def bucket_counts(text: str) -> np.ndarray | None:
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int, np.ndarray]:
-    """Documents with letters, and how many of them have each bucket; over all documents."""
+    """Documents with letters, and how many of them have each bucket; over all of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS + 1, np.int64)
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     Without any teaching row every prediction is ``und``; with one language, it is that language.
     """
-    n, df = document_frequencies(docs, text_col)
+    n, df = document_frequencies(docs.where(~held_out(F.col(id_col))), text_col)
     idf = np.log((1 + n) / (1 + df)) + 1
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).alias("lang"))
     usable = own.where(F.col("lang").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("_id")))

@@ -1,16 +1,21 @@
 """Fuzzy line duplicates: SimHash, pigeonhole blocks, edit similarity, one occurrence for each group.
 
-DataFrame functions only. A line is normalised to its words (letters and digits, lower case): with
-``in_order``, as the query has it, in the line's order with repeats, else to its distinct words in
-sorted order, so that order and repetition do not count. The fingerprint's bit is set if more than
-half of the distinct words' hashes have it; the 64 counts of a line are packed into lanes of longs
-and folded inside the row. Two normalised lines are linked if their fingerprints differ in at
+DataFrame functions only. A line is normalised to its words (letters and digits, lower case) in their
+order with repeats. The fingerprint's bit is set if more than half of the distinct words' hashes have
+it: words are listed row by row, and the 64 counts of a line are summed in lanes packed into longs,
+before anything is shuffled. Two normalised lines are linked if their fingerprints differ in at
 most two bits and their edit similarity, ``1 - levenshtein / longer length``, is 0.8 or more.
 
 Fingerprints within two bits agree on two of four 16-bit blocks, so six keys bring them together.
 Keys of more than ``PAIR_LIMIT`` fingerprints are not paired: such fingerprints meet at the values
-within one bit of them, at each of which no more than 65 can meet. Neither path loses a link. Text
-does not travel with the fingerprints; it is fetched again for the lines of candidate pairs only.
+within one bit of them, at each of which no more than 65 can meet. Neither path loses a link.
+
+Texts of one fingerprint are compared with the group's pivot, its smallest digest, and pivots of close
+fingerprints with each other. Only texts that are not linked to their pivot, or whose pivots are not
+linked, are compared with the others, and only with those whose length allows a link. A large group of
+near copies is thus compared once a text, not once a pair, and no link is lost: leaving out pairs that
+the pivot joins already cannot part a group. Text does not travel with the fingerprints; it is fetched
+again for the lines of candidate pairs only.
 """
 
 from __future__ import annotations
@@ -20,17 +25,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filigree.llm.common import stage
+from filigree.llm.common import free_names, stage
 from filigree.llm.components import connected_components
 
 MAX_BITS, SIMILARITY, PAIR_LIMIT = 2, 0.8, 32
 # Lanes by number of words: up to how many the top lane, which holds the sign, can count; bits of a lane.
-LANES = ((127, 8), (2047, 13), (2**31 - 1, 32))
-
-
-def words(line: Column) -> Column:
-    """Distinct words of a line in sorted order."""
-    return F.sort_array(F.array_distinct(F.array_remove(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), "")))
+LANES = ((127, 8), (2**31 - 1, 32))
 
 
 def normal(line: Column) -> Column:
@@ -65,29 +65,30 @@ def _majority(width: int) -> Column:
 
 def _counts(width: int, when: Column) -> list[Column]:
     """Counter ``j`` adds up bits ``j``, ``j + width``, ... of the hashes, each in a lane of its own."""
-    zero, spread = F.lit(0).cast("bigint"), sum(1 << b for b in range(0, 64, width))
+    spread = sum(1 << b for b in range(0, 64, width))
+    return [F.sum(F.when(when, F.shiftrightunsigned("h", j).bitwiseAND(F.lit(spread)))).alias(f"c{width}_{j}") for j in range(width)]
 
-    def one(j: int) -> Column:
-        return F.aggregate("h", zero, lambda total, h: total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(spread)))
 
-    return [F.when(when, one(j)).alias(f"c{width}_{j}") for j in range(width)]
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc, line_no, digest, size, fp)``, ``size`` in characters; the last three null for lines without words.
 
-
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
-    """``(doc, line_no, digest, fp)``; both null for lines without words. Nothing is shuffled."""
-    compared = normal(F.col("line")) if in_order else F.array_join("w", " ")
-    listed = lines(docs, id_col, text_col).select("doc", "line_no", "line", words(F.col("line")).alias("w"))
-    digest = F.when(F.size("w") > 0, F.unhex(F.md5(compared)))
-    hashed = listed.select("doc", "line_no", digest.alias("digest"), F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
-    # The fewer words, the narrower the lanes and the fewer counters to fold; the bits are the same.
+    The counts of a line are complete in the task that reads it; one row a line is shuffled.
+    """
+    named = lines(docs, id_col, text_col).select("doc", "line_no", normal(F.col("line")).alias("text"), F.monotonically_increasing_id().alias("at"))
+    worded = F.length("text") > 0
+    split = F.when(worded, F.array_distinct(F.split("text", " ")))
+    listed = named.select("at", "doc", "line_no", F.when(worded, F.unhex(F.md5("text"))).alias("digest"), F.length("text").alias("size"), split.alias("w"))
+    # The fewer words, the narrower the lanes and the fewer counters to fill; the bits are the same.
+    keys = ["at", "doc", "line_no", "digest", "size", "n"]
+    hashed = listed.select(*keys[:-1], F.coalesce(F.size("w"), F.lit(0)).alias("n"), F.explode_outer("w").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
     counters, fp, above = [], F.lit(None).cast("bigint"), 0
     for most, width in LANES:
         fits = F.col("n").between(above + 1, most)
         counters += _counts(width, fits)
         fp = F.when(fits, _majority(width)).otherwise(fp)
         above = most
-    counted = hashed.select("doc", "line_no", "digest", "n", *counters)
-    return counted.select("doc", "line_no", "digest", fp.alias("fp"))
+    counted = hashed.groupBy(*keys).agg(*counters)
+    return counted.select("doc", "line_no", "digest", F.when(F.col("n") > 0, F.col("size")).alias("size"), fp.alias("fp"))
 
 
 def _close(fps: str) -> Column:
@@ -111,46 +112,82 @@ def close_fingerprints(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataF
     return both.select(F.explode(_close("fps")).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, in_order: bool = False) -> DataFrame:
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(digest, text)`` of the normalised lines at ``wanted(doc, line_no, digest)``."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "digest")).alias("at"))
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     found = own.join(per_doc, own["_id"].eqNullSafe(per_doc["doc"])).select(F.split(F.coalesce("_text", F.lit("")), "\n", -1).alias("cut"), F.explode("at").alias("at"))
-    line = F.get("cut", F.col("at.line_no"))
-    text = normal(line) if in_order else F.array_join(words(line), " ")
-    picked = found.select(F.col("at.digest").alias("digest"), text.alias("text"))
+    picked = found.select(F.col("at.digest").alias("digest"), normal(F.get("cut", F.col("at.line_no"))).alias("text"))
     return picked.where(F.unhex(F.md5("text")) == F.col("digest")).dropDuplicates(["digest"])
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
+def similar(s: str, t: str) -> Column:
+    """True if the normalised texts ``s`` and ``t`` have an edit similarity of ``SIMILARITY`` or more.
+
+    Words that both begin or end with do not count for the distance, so that only what lies between
+    is compared; if that is no longer than the edits allowed, nothing is left to find out.
+    """
+    allowed = f"cast(floor(greatest(length({s}), length({t})) * {1 - SIMILARITY} + 1e-9) as int)"
+    bound = lambda value, name, body: f"get(transform(array({value}), {name} -> {body}), 0)"
+    agreeing = lambda a, b: bound(f"array_position(zip_with({a}, {b}, (x, y) -> x <=> y), false)", "at", f"cast(if(at = 0, least(size({a}), size({b})), at - 1) as int)")
+    rest = lambda a, k: f"slice({a}, {k} + 1, size({a}) - {k})"
+    joined = lambda a: f"concat_ws('', transform({a}, x -> concat(x, ' ')))"
+    inner = f"greatest(length(m.x), length(m.y)) <= {allowed} or levenshtein(m.x, m.y, {allowed}) >= 0"
+    left = lambda a: joined(f"reverse({rest(a, 'q')})")
+    middle = bound(f"struct({left('r.x')} as x, {left('r.y')} as y)", "m", inner)
+    ends = bound(f"struct(reverse({rest('w.x', 'p')}) as x, reverse({rest('w.y', 'p')}) as y)", "r", bound(agreeing("r.x", "r.y"), "q", middle))
+    whole = bound(f"struct(split({s}, ' ') as x, split({t}, ' ') as y)", "w", bound(agreeing("w.x", "w.y"), "p", ends))
+    return F.expr(f"abs(length({s}) - length({t})) <= {allowed} and {whole}")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``(x, y)`` of digests whose texts are similar; dealt out by hash, since comparing costs more than reading."""
+    joined = pairs.join(texts.select(F.col("digest").alias("x"), F.col("text").alias("s")), "x").join(texts.select(F.col("digest").alias("y"), F.col("text").alias("t")), "y")
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return joined.repartition(parts, "x", "y").where(similar("s", "t")).select("x", "y")
+
+
+def _links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links ``(x, y)`` that connect exactly the groups of ``nodes(digest, fp, size, first)``."""
+    pairs = stage(close_fingerprints(nodes.select("fp").distinct()))
+    pivots = stage(nodes.groupBy("fp").agg(F.min_by(F.struct("digest", "first"), "digest").alias("pivot"), F.count("*").alias("n")))
+    many = nodes.join(pivots.where("n > 1"), "fp")
+    spokes = many.where(F.col("digest") != F.col("pivot.digest")).select(F.col("pivot").alias("p"), F.struct("digest", "first").alias("q"))
+    side = lambda name: pivots.select(F.col("fp").alias(name), F.col("pivot").alias(f"p_{name}"), F.col("n").alias(f"n_{name}"))
+    close = stage(pairs.join(side("a"), "a").join(side("b"), "b"))
+    first = stage(spokes.unionByName(close.select(F.col("p_a").alias("p"), F.col("p_b").alias("q"))))
+    wanted = first.select(F.explode(F.array("p", "q")).alias("e")).distinct()
+    texts = stage(_texts(docs, wanted.select("e.first.doc", "e.first.line_no", "e.digest"), id_col, text_col))
+    found = stage(_verified(first.select(F.col("p.digest").alias("x"), F.col("q.digest").alias("y")), texts))
+    # What the pivots leave open: members of a block of texts that its main group does not hold.
+    tied = found.select(F.col("x").alias("_x"), F.col("y").alias("_y"))
+    own = many.join(tied, (F.col("pivot.digest") == F.col("_x")) & (F.col("digest") == F.col("_y")), "left")
+    alone = nodes.join(pivots.where("n = 1"), "fp").select("fp", "digest", "size", F.lit(True).alias("main"))
+    held = own.select("fp", "digest", "size", (F.col("_x").isNotNull() | (F.col("digest") == F.col("pivot.digest"))).alias("main"))
+    members = stage(held)
+    wide = close.where("n_a > 1 or n_b > 1").join(tied, (F.col("p_a.digest") == F.col("_x")) & (F.col("p_b.digest") == F.col("_y")), "left").select("a", "b", F.col("_x").isNotNull().alias("met"))
+    texts_of = members.unionByName(alone.join(wide.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "fp", "left_semi"))
+    block = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b")).alias("block")
+    left = wide.join(texts_of, wide.a == texts_of.fp).select(block("a", "b"), F.lit(0).alias("side"), "digest", "size", "main")
+    right = wide.join(texts_of, wide.b == texts_of.fp).select(block("a", "b"), F.lit(1).alias("side"), "digest", "size", (F.col("main") & F.col("met")).alias("main"))
+    same = members.join(pivots.where("n > 2").select("fp"), "fp", "left_semi").select(block("fp", "fp"), F.lit(2).alias("side"), "digest", "size", "main")
+    all_ = left.unionByName(right).unionByName(same).withColumn("band", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / SIMILARITY))))
+    rest = all_.where(~F.col("main")).select("block", F.col("side").alias("_side"), F.col("digest").alias("x"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    met = rest.join(all_.withColumnRenamed("digest", "y"), ["block", "band"]).where("x <> y and (side = 2 or side <> _side)")
+    open_ = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return found.unionByName(_verified(open_, texts))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc, line_no, digest, kept)`` for every line; of a group the first occurrence is kept.
 
     First means the smallest id, then the smallest line number; a null id comes first. Lines without
-    words are always kept. With ``in_order`` the edit similarity is that of the words in their order
-    with repeats, as the lines have them; else that of the sorted distinct words.
+    words are always kept.
     """
-    seen = stage(occurrences(docs, id_col, text_col, in_order))
+    seen = stage(occurrences(docs, id_col, text_col))
     worded = seen.where("digest is not null")
-    first = F.min(F.struct("doc", "line_no")).alias("first")
-    nodes = stage(worded.groupBy("digest", "fp").agg(first))
-    pairs = stage(close_fingerprints(nodes.select("fp").distinct()))
-    alike = nodes.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    left = nodes.select(F.col("fp").alias("a"), F.col("digest").alias("x"), F.col("first").alias("x_first"))
-    right = nodes.select(F.col("fp").alias("b"), F.col("digest").alias("y"), F.col("first").alias("y_first"))
-    candidates = stage(pairs.unionByName(alike).join(left, "a").join(right, "b").where("a <> b or x < y"))
-    wanted = candidates.select(F.explode(F.array(F.struct(F.col("x").alias("digest"), F.col("x_first").alias("first")), F.struct(F.col("y").alias("digest"), F.col("y_first").alias("first")))).alias("e")).distinct()
-    texts = stage(_texts(docs, wanted.select("e.first.doc", "e.first.line_no", "e.digest"), id_col, text_col, in_order))
-    compared = candidates.select("x", "y").join(texts.select(F.col("digest").alias("x"), F.col("text").alias("s")), "x").join(texts.select(F.col("digest").alias("y"), F.col("text").alias("t")), "y")
-    longer = F.greatest(F.length("s"), F.length("t"))
-    allowed = F.floor(longer * F.lit(1 - SIMILARITY) + F.lit(1e-9))
-    # Taking out the words of one line and putting in those of the other is one way to edit sorted
-    # distinct words; where that is short enough already, the distance itself need not be found.
-    s_words, t_words = F.split("s", " "), F.split("t", " ")
-    taken, put = F.array_except(s_words, t_words), F.array_except(t_words, s_words)
-    at_most = F.length(F.array_join(taken, " ")) + F.size(taken) + F.length(F.array_join(put, " ")) + F.size(put)
-    fits = compared.withColumn("allowed", allowed.cast("int")).where(F.abs(F.length("s") - F.length("t")) <= F.col("allowed"))
-    verified = F.expr("levenshtein(s, t, allowed) >= 0")
-    near = fits.where(verified if in_order else F.when(at_most <= F.col("allowed"), True).otherwise(verified))
+    nodes = stage(worded.groupBy("digest", "fp", "size").agg(F.min(F.struct("doc", "line_no")).alias("first")))
+    near = stage(_links(nodes, docs, id_col, text_col))
     found = stage(connected_components(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
     labelled = nodes.join(found, nodes.digest == found.node, "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
     heads = labelled.groupBy("component").agg(F.min("first").alias("head"))
@@ -159,20 +196,21 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_o
     return out.unionByName(seen.where("digest is null").select("doc", "line_no", "digest", F.lit(True).alias("kept")))
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_lines, n_dropped, dropped)`` for every id; ``dropped`` lists line numbers from 0.
 
     Null and empty texts have one line without words. Rows that repeat an id count as one document.
     An empty table gives an empty result; other columns are not read.
     """
     dropped = F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no"))))
-    out = groups(docs, id_col, text_col, in_order).groupBy("doc").agg(F.count("*").alias("n_lines"), F.sum((~F.col("kept")).cast("long")).alias("n_dropped"), dropped.alias("dropped"))
+    out = groups(docs, id_col, text_col).groupBy("doc").agg(F.count("*").alias("n_lines"), F.sum((~F.col("kept")).cast("long")).alias("n_dropped"), dropped.alias("dropped"))
     return out.withColumnRenamed("doc", id_col)
 
 
-def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
+def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines taken out of the texts, all columns kept; a null text stays null."""
-    report = line_report(docs, id_col, text_col, in_order).select(F.col(id_col).alias("_line_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(report, docs[id_col].eqNullSafe(report["_line_id"]), "left")
-    rest = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("_dropped", i))
+    name, dropped = free_names(docs, "id", "dropped")
+    report = line_report(docs, id_col, text_col).select(F.col(id_col).alias(name), F.col("dropped").alias(dropped))
+    joined = docs.join(report, F.col(id_col).eqNullSafe(F.col(name)), "left")
+    rest = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(dropped, i))
     return joined.withColumn(text_col, F.array_join(rest, "\n")).select(docs.columns)

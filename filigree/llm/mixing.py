@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filigree.llm.common import stage
+from filigree.llm.common import free_names, stage
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
@@ -102,15 +102,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     repeat an id, and rows without one, are each taken their own number of times.
     """
     plan = _plan(docs, id_col, text_col, source_col, **options)
-    alike = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_mix_id"), F.col(id_col).isNull().alias("_mix_none")]
-    shares = plan.select(*alike, F.col("key").alias("_mix_key"), F.col("size").alias("_mix_size"), "repeats")
-    names = ["_mix_id", "_mix_none", "_mix_key", "_mix_size"]
-    shares = shares.groupBy(*names).agg(F.count("*").alias("_mix_rows"), F.sum("repeats").alias("_mix_taken")).where("_mix_taken > 0")
-    rows = docs.select("*", *alike, source_key(F.col(source_col)).alias("_mix_key"), n_words(F.col(text_col)).alias("_mix_size"), F.xxhash64(F.col(text_col)).alias("_mix_tag"))
-    placed = rows.withColumn("_mix_place", F.row_number().over(Window.partitionBy(*names).orderBy("_mix_tag")))
+    name, none, key, size, tag, place, count, taken, copy = free_names(docs, "id", "none", "key", "size", "tag", "place", "rows", "taken", "copy")
+    alike = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias(name), F.col(id_col).isNull().alias(none)]
+    names = [name, none, key, size]
+    shares = plan.select(*alike, F.col("key").alias(key), F.col("size").alias(size), "repeats")
+    shares = shares.groupBy(*names).agg(F.count("*").alias(count), F.sum("repeats").alias(taken)).where(F.col(taken) > 0)
+    rows = docs.select("*", *alike, source_key(F.col(source_col)).alias(key), n_words(F.col(text_col)).alias(size), F.xxhash64(F.col(text_col)).alias(tag))
+    placed = rows.withColumn(place, F.row_number().over(Window.partitionBy(*names).orderBy(tag)))
     joined = placed.join(shares, names)
-    times = F.expr("cast(_mix_taken div _mix_rows + if(_mix_place <= _mix_taken % _mix_rows, 1, 0) as int)")
-    return joined.withColumn("_mix_n", F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)
+    times = F.expr(f"cast({taken} div {count} + if({place} <= {taken} % {count}, 1, 0) as int)")
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)
 
 
 SQL = f"""

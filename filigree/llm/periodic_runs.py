@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filigree.llm.common import arrow_map, slices
+from filigree.llm.common import arrow_map, slices, split
 
 LEAST_LENGTH, LEAST_EXPONENT = 24, 3
 AT_ONCE = 1 << 17
@@ -180,15 +180,6 @@ def text_runs(ids: np.ndarray, sizes: np.ndarray, least_length: int = LEAST_LENG
     return out
 
 
-def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts one after another, and how many each text has; null has none."""
-    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    words, owner = cut.flatten(), pc.list_parent_indices(cut)
-    real = pc.not_equal(words, "")
-    sizes = np.bincount(owner.filter(real).to_numpy(zero_copy_only=False), minlength=len(texts))
-    return words.filter(real), sizes
-
-
 def _rows(batch: pa.RecordBatch, least_length: int, least_exponent: int) -> list[pa.Array]:
     words, sizes = split(batch.column("t"))
     ids = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int32)
@@ -217,7 +208,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     picked = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("i"), *_rows(batch, least_length, least_exponent)], names=["i", "n_words", "runs", "collapsed"])
 
     return arrow_map(picked, run, f"i {picked.schema['i'].dataType.simpleString()}, {RESULT}").withColumnRenamed("i", id_col)

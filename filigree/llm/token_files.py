@@ -5,7 +5,8 @@ Documents are dealt out by ranges of their id and encoded in ascending order. Ea
 * ``part-<range>-<attempt>.ids``: all token ids of the range, flat little-endian unsigned integers
   (16 bits where the vocabulary fits, else 32);
 * ``part-<range>-<attempt>.idx``: little-endian 64-bit ``offsets`` (documents + 1, relative to the
-  file), then the document ids.
+  file);
+* ``part-<range>-<attempt>.names``: the document ids, of whatever type, as an Arrow file.
 
 and returns one manifest row. Only files named in the manifest count, so files left by a lost or
 repeated attempt are never read. The base of a file, where its ids stand among all ids, is the prefix
@@ -19,21 +20,23 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filigree.llm.common import arrow_map, raw_texts, slices, stage
+from filigree.llm.common import arrow_map, slices, split, stage
 from filigree.session import fresh_path
 
 END = 2
-REMEMBERED = 1_000_000
-MANIFEST = "part int, ids_path string, idx_path string, width int, n_docs long, n_ids long, first_doc long"
+REMEMBERED_BYTES = 32 << 20  # what remembered stretches may take in a worker, at ``EACH`` bytes besides their own
+EACH = 160
+READ_AT_ONCE = 1 << 16
+MANIFEST = "part int, ids_path string, idx_path string, names_path string, width int, n_docs long, n_ids long"
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -62,6 +65,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
+        self.bytes = 0
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
@@ -80,6 +84,7 @@ class Encoder:
         both[1::2] = np.fromiter(map(at.__getitem__, tails), np.int64, len(fresh))
         new = ragged(ids, starts[both], sizes[both])
         lengths = sizes[both[0::2]] + sizes[both[1::2]]
+        self.bytes += sum(map(len, fresh)) + EACH * len(fresh)
         self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.sizes = np.concatenate([self.sizes, lengths])
@@ -106,15 +111,23 @@ class Encoder:
             return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
         return ids, sizes
 
-    def encode(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each text's followed by ``END``, and the number of ids of each."""
-        if len(self.place) > REMEMBERED:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each text's followed by ``END``, and the number of ids of each.
+
+        Splitting, lower-casing and numbering of the stretches are Arrow's; Python sees each
+        distinct stretch of ``texts`` once.
+        """
+        if self.bytes > REMEMBERED_BYTES:
             self.forget()
-        cut = [(raw if b"<|" in raw else raw.lower()).split() for raw in raws]  # special strings keep their case
-        if fresh := list({w for w in chain.from_iterable(cut) if w not in self.place}):
+        texts = pc.fill_null(texts, "")
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))  # special strings keep their case
+        words, counts = split(lowered)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        if fresh := [w for w in distinct if w not in self.place]:
             self.learn(fresh)
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        at = places[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[at]
         flat = ragged(self.ids, self.starts[at], sizes)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
@@ -128,9 +141,8 @@ def write_token_files(docs: DataFrame, path: str, folder: str, id_col: str = "do
     """Write the token files below ``folder`` and return the manifest, one row for each file.
 
     ``path`` is the vocabulary file, present on every executor. Null counts as an empty text, which
-    has the end id only. Documents without an id are left out: they have no place in the order. Rows
-    that repeat an id stand next to each other, in the order of their texts. An empty table writes no
-    file. Other columns are not read. The manifest is a table in the shared folder.
+    has the end id only. Documents without an id come last; rows that repeat an id, or have none, stand
+    next to each other, in the order of their texts. An empty table writes no file. Other columns are not read. The manifest is a table in the shared folder.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,28 +153,31 @@ def write_token_files(docs: DataFrame, path: str, folder: str, id_col: str = "do
         store, root = fs.FileSystem.from_uri(folder)
         stem = f"{root}/part-{part:06d}-{uuid.uuid4().hex[:12]}"
         counts, ids, total, out = [], [], 0, None
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches):
             if out is None:
                 store.create_dir(root)
                 out = store.open_output_stream(f"{stem}.ids")
-            flat, sizes = encoder.encode(raw_texts(batch, "t"))
+            flat, sizes = encoder.encode(batch.column("t"))
             out.write(flat.astype(f"<u{encoder.width}").tobytes())
             counts.append(sizes)
-            ids.append(batch.column("i").to_numpy(zero_copy_only=False))
+            ids.append(batch.column("i"))
             total += len(flat)
+        encoder.forget()  # workers are used again; what they remember ends with the task
         if out is None:
             return
         out.close()
-        sizes, names = np.concatenate(counts), np.concatenate(ids).astype("<i8")
+        sizes, names = np.concatenate(counts), pa.table({"i": pa.chunked_array(ids)})
         with store.open_output_stream(f"{stem}.idx") as index:
             index.write(np.concatenate([[0], np.cumsum(sizes)]).astype("<u8").tobytes())
-            index.write(names.tobytes())
-        row = {"part": part, "ids_path": f"{stem}.ids", "idx_path": f"{stem}.idx", "width": encoder.width, "n_docs": len(names), "n_ids": total, "first_doc": int(names[0])}
-        kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        with store.open_output_stream(f"{stem}.names") as sink, pa.ipc.new_file(sink, names.schema) as writer:
+            writer.write_table(names)
+        row = {"part": part, "ids_path": f"{stem}.ids", "idx_path": f"{stem}.idx", "names_path": f"{stem}.names", "width": encoder.width, "n_docs": len(sizes), "n_ids": total}
+        kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    dealt = own.repartitionByRange("i").sortWithinPartitions("i", "t")
+    own = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
+    last = F.col("i").asc_nulls_last()
+    dealt = own.repartitionByRange(last).sortWithinPartitions(last, "t")
     return stage(arrow_map(dealt, run, MANIFEST))
 
 
@@ -172,36 +187,39 @@ def with_bases(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long"))
 
 
-def open_part(folder: str, ids_path: str, idx_path: str, width: int, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def open_part(folder: str, ids_path: str, idx_path: str, names_path: str, width: int) -> tuple[np.ndarray, np.ndarray, pa.ChunkedArray]:
     """Ids, offsets and document ids of one file."""
     store, _ = fs.FileSystem.from_uri(folder)
     if isinstance(store, fs.LocalFileSystem):
         load = lambda p, kind: np.memmap(p, kind, "r") if os.path.getsize(p) else np.zeros(0, kind)
     else:
         load = lambda p, kind: np.frombuffer(store.open_input_file(p).read(), kind)
-    index = load(idx_path, "<u8")
-    return load(ids_path, f"<u{width}"), index[: n_docs + 1], index[n_docs + 1 :].view("<i8")
+    with store.open_input_file(names_path) as source:
+        names = pa.ipc.open_file(source).read_all().column("i")
+    return load(ids_path, f"<u{width}"), load(idx_path, "<u8"), names
 
 
-def read_token_files(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str, id_col: str = "doc_id", id_type: str = "long") -> DataFrame:
     """``(id_col, start, n_tokens, ids_crc32)`` of every document, from the files.
 
     ``start`` counts the ids of all documents before, ``ids_crc32`` is the unsigned CRC-32 of the
-    document's ids as little-endian 32-bit integers.
+    document's ids as little-endian 32-bit integers. ``id_type`` is the type the ids were written with.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, offsets, names = open_part(folder, row["ids_path"], row["idx_path"], row["width"], row["n_docs"])
+                ids, offsets, names = open_part(folder, row["ids_path"], row["idx_path"], row["names_path"], row["width"])
                 cuts = offsets.astype(np.int64)
-                sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-                columns = [pa.array(np.asarray(names)), pa.array(cuts[:-1] + row["base"]), pa.array(np.diff(cuts)), pa.array(sums, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["i", "start", "n_tokens", "ids_crc32"])
+                for start in range(0, len(names), READ_AT_ONCE):
+                    own = cuts[start : start + READ_AT_ONCE + 1]
+                    sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                    columns = [names[start : start + READ_AT_ONCE].combine_chunks(), pa.array(own[:-1] + row["base"]), pa.array(np.diff(own)), pa.array(sums, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["i", "start", "n_tokens", "ids_crc32"])
 
     files = with_bases(manifest)
     spread = files.repartition(max(1, manifest.count()), "part")
-    read = arrow_map(spread, run, "i long, start long, n_tokens long, ids_crc32 long")
+    read = arrow_map(spread, run, f"i {id_type}, start long, n_tokens long, ids_crc32 long")
     return read.withColumnRenamed("i", id_col)
 
 
@@ -209,4 +227,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """Write the token files into the shared folder and return what reading them back gives."""
     folder = fresh_path(docs.sparkSession, "tokens")
     folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    return read_token_files(write_token_files(docs, path, folder, id_col, text_col), folder, id_col)
+    return read_token_files(write_token_files(docs, path, folder, id_col, text_col), folder, id_col, docs.select(id_col).schema[0].dataType.simpleString())

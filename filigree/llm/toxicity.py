@@ -33,7 +33,8 @@ SAMPLE = 6000
 FEATURES = 512
 PREFIXES = (4, 5, 6)
 SYMBOLS = 28
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+AT_ONCE = 1 << 20
 
 # Letters that a sign can stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
@@ -53,8 +54,10 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in slices(batches):
-            codes = _CODE_OF_BYTE[np.frombuffer(b"  " + b" ".join(raw_texts(batch, "t")) + b" ", np.uint8)]
-            total += np.bincount((codes[:-2] * SYMBOLS + codes[1:-1]) * SYMBOLS + codes[2:], minlength=size)
+            raw = b"  " + b" ".join(raw_texts(batch, "t")) + b" "
+            for start in range(0, len(raw) - 2, AT_ONCE):  # a long text is a slice of its own
+                codes = _CODE_OF_BYTE[np.frombuffer(raw, np.uint8, min(AT_ONCE + 2, len(raw) - start), start)]
+                total += np.bincount((codes[:-2] * SYMBOLS + codes[1:-1]) * SYMBOLS + codes[2:], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["gram", "n"])
 

@@ -262,3 +262,12 @@ def test_every_word_with_several_paths_is_decoded(spark, frame):
     assert got[len(hidden) + len(clean)] == got[len(hidden) + len(clean) + 1] == 1
     long = "ab" * 100_000 + "cc"
     assert toxicity.decode(long, model.costs).startswith("abab")
+
+
+def test_language_model_ignores_texts_of_the_held_out_fold(frame):
+    """Other texts in the held-out fold change neither frequencies nor weights."""
+    rng = random.Random(31)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma"] if i % 2 else ["uno", "dos", "tres"]) for _ in range(20)), "en" if i % 2 else "es") for i in range(200)]
+    other = [(i, "zzz qqq " * 9 if held(i) else t, lang) for i, t, lang in rows]
+    one, two = langid.fit(frame(rows)), langid.fit(frame(other))
+    assert (one.idf == two.idf).all() and (one.weights == two.weights).all() and one.temperature == two.temperature

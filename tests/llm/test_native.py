@@ -9,6 +9,7 @@ import re
 import pytest
 import xxhash
 from check import compare, connect
+from pyspark.sql import functions as F
 
 from filigree.llm import exact_dedup, line_dedup, mixing
 from filigree.llm.queries import QUERIES, SQL
@@ -55,11 +56,11 @@ def brute_lines(docs):
     prints, seen = {}, []
     for i, text in sorted(docs):
         for k, line in enumerate((text or "").split("\n")):
-            words = sorted({w for w in re.split(r"[\W_]+", line.lower()) if w})
+            words = [w for w in re.split(r"[\W_]+", line.lower()) if w]
             norm = " ".join(words)
             seen.append((i, k, norm))
             if words and norm not in prints:
-                hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words]
+                hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(words)]
                 prints[norm] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     names = list(prints)
     parent = {n: n for n in names}
@@ -167,9 +168,9 @@ def test_lines_in_order(frame):
     swapped = [long[1], long[0], *long[2:]]
     lines = ["Bob paid Alice 10 20", "Alice paid Bob 20 10 10", "ha ha ha", "ha", " ".join(long), " ".join(reversed(long)), " ".join(swapped), "HA, ha: ha!", ""]
     docs = frame([(1, "\n".join(lines)), (2, "bob paid alice - 10 20\nha ha")])
-    got = {r.doc_id: list(r.dropped) for r in line_dedup.line_report(docs, in_order=True).collect()}
+    got = {r.doc_id: list(r.dropped) for r in line_dedup.line_report(docs).collect()}
     assert got == {1: [6, 7], 2: [0]}
-    kept = {r.doc_id: r.text for r in line_dedup.drop_fuzzy_lines(docs, in_order=True).collect()}
+    kept = {r.doc_id: r.text for r in line_dedup.drop_fuzzy_lines(docs).collect()}
     assert kept[2] == "ha ha" and kept[1].split("\n") == [x for k, x in enumerate(lines) if k not in (6, 7)]
 
 
@@ -192,3 +193,38 @@ def test_mix_of_repeated_rows_and_null_ids(frame):
     assert all(n <= 3 * sum(r == (i, t, None, s) for r in rows) for (i, t, s), n in copies.items())
     again = mixing.mixed(docs.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, out))
+
+
+def test_similar_equals_edit_distance(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(600):
+        s = [rng.choice(["a", "bb", "cab", "dddd"]) for _ in range(rng.randint(1, 12))]
+        t = list(s)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(t) + 1)
+            t[at : at + rng.randint(0, 2)] = [rng.choice(["a", "bb", "cab", "e"]) for _ in range(rng.randint(0, 2))]
+        rows.append((k, " ".join(s), " ".join(t) or "z"))
+    got = {r.k: r.v for r in spark.createDataFrame(rows, "k long, s string, t string").select("k", line_dedup.similar("s", "t").alias("v")).collect()}
+    want = {k: lev(s, t) <= 0.2 * max(len(s), len(t)) + 1e-9 for k, s, t in rows}
+    assert got == want and 100 < sum(want.values()) < 500
+
+
+def test_many_lines_of_one_fingerprint(frame):
+    """Texts of one word set, most alike, some not: the pivot joins the many, the others are compared with all."""
+    rng = random.Random(22)
+    words = [f"word{k}" for k in range(12)]
+    near = [" ".join(words + ["word3"] * (k % 3) + ["word5"] * (k // 3 % 2)) for k in range(6)]
+    far = [" ".join(rng.sample(words, 12)) for _ in range(12)] + [" ".join(words * n) for n in (2, 3, 4)]
+    far += [" ".join([x.split()[1], x.split()[0], *x.split()[2:]]) for x in far[:6]]
+    docs = [(i, "\n".join(rng.sample(near + far, 6))) for i in range(40)]
+    want = brute_lines(docs)
+    assert {r.doc_id: list(r.dropped) for r in line_dedup.line_report(frame(docs)).collect()} == want
+
+
+@pytest.mark.parametrize("taken", [["_id", "_dropped"], ["_key", "_size", "_tag", "_place", "_rows", "_taken", "_copy", "_none", "__id"]])
+def test_names_already_taken(frame, taken):
+    rows = [(k, f"line {k}\nsame line here", None, "ab"[k % 2]) for k in range(20)]
+    docs = frame(rows).withColumns({c: F.lit("mine") for c in taken})
+    for out in (line_dedup.drop_fuzzy_lines(docs), mixing.mixed(docs)):
+        assert out.columns == docs.columns and all(r[c] == "mine" for r in out.collect() for c in taken)

@@ -11,6 +11,9 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from filigree.llm import decontaminate, mixing, simhash, token_counts, token_files, toxicity
 from filigree.llm.common import read, stage, vocabulary
@@ -108,7 +111,7 @@ def test_encoder_equals_the_library():
     encoder = token_files.Encoder(path)
     want = [e.ids + [2] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     for part in (slice(0, 3000), slice(3000, None), slice(0, 500)):
-        flat, sizes = encoder.encode([t.encode() for t in texts[part]])
+        flat, sizes = encoder.encode(pa.array(texts[part]))
         cuts = np.cumsum(sizes)
         assert [flat[b - n : b].tolist() for n, b in zip(sizes, cuts, strict=True)] == want[part]
 
@@ -127,7 +130,10 @@ def test_token_files_round_trip(frame, odd):
         ids = [*library.encode(t, add_special_tokens=False).ids, 2]
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    assert token_files.round_trip(odd, path).count() == 9  # a row without an id has no place
+    assert [r.doc_id for r in sorted(token_files.round_trip(odd, path).collect(), key=lambda r: r.start)] == [1, 2, 3, 5, 5, 6, 7, 8, 9, None]
+    named = frame(rows[:50]).withColumn("doc_id", F.concat(F.lit("doc-"), "doc_id"))
+    again = sorted(token_files.round_trip(named, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in again] == sorted(f"doc-{i}" for i, _ in rows[:50]) and sum(r.n_tokens for r in again) == again[-1].start + again[-1].n_tokens
     assert token_files.round_trip(frame([]), path).count() == 0
 
 
