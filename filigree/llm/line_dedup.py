@@ -30,12 +30,14 @@ from filigree.llm.components import connected_components
 
 MAX_BITS, SIMILARITY, PAIR_LIMIT = 2, 0.8, 32
 # Lanes by number of words: up to how many the top lane, which holds the sign, can count; bits of a lane.
-LANES = ((127, 8), (2**31 - 1, 32))
+LANES = ((127, 8), (2047, 13), (2**31 - 1, 32))
 
 
 def normal(line: Column) -> Column:
     """The words of a line in their order, repeats included, parted by single blanks."""
-    return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}\\p{N}]+", " "))
+    low = F.lower(line)
+    plain = F.regexp_replace(low, "[^a-z0-9]+", " ")  # the same for texts of ASCII only, and faster
+    return F.trim(F.when(F.octet_length(low) == F.length(low), plain).otherwise(F.regexp_replace(low, "[^\\p{L}\\p{N}]+", " ")))
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,8 +46,8 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc"), F.posexplode(cut).alias("line_no", "line"))
 
 
-def _majority(width: int) -> Column:
-    """The fingerprint from counters of ``width``: a bit is set if more than half of the ``n`` hashes have it.
+def _majority(width: int, counters: list[Column]) -> Column:
+    """The fingerprint from counters with lanes of ``width``: a bit is set if more than half of the ``n`` hashes have it.
 
     A lane gets what it lacks to reach its highest bit at a count of ``n / 2 + 1``, all lanes of a
     counter in one addition. The top lane is added apart, since it has no room above.
@@ -55,7 +57,7 @@ def _majority(width: int) -> Column:
     lack = F.lit((1 << (width - 1)) - 1).cast("bigint") - F.shiftright(F.col("n").cast("bigint"), 1)
 
     def part(j: int) -> Column:
-        counter = F.col(f"c{width}_{j}")
+        counter = counters[j]
         low = F.shiftrightunsigned(counter.bitwiseAND(F.lit((1 << top) - 1)) + lack * F.lit(places), width - 1).bitwiseAND(F.lit(places))
         high = F.shiftrightunsigned(F.shiftrightunsigned(counter, top) + lack, width - 1).bitwiseAND(F.lit(1).cast("bigint"))
         return F.shiftleft(low.bitwiseOR(F.shiftleft(high, top)), j)
@@ -63,32 +65,42 @@ def _majority(width: int) -> Column:
     return reduce(lambda x, y: x.bitwiseOR(y), [part(j) for j in range(width)])
 
 
-def _counts(width: int, when: Column) -> list[Column]:
-    """Counter ``j`` adds up bits ``j``, ``j + width``, ... of the hashes, each in a lane of its own."""
-    spread = sum(1 << b for b in range(0, 64, width))
-    return [F.sum(F.when(when, F.shiftrightunsigned("h", j).bitwiseAND(F.lit(spread)))).alias(f"c{width}_{j}") for j in range(width)]
+def _lane(j: int, width: int) -> Column:
+    """Bits ``j``, ``j + width``, ... of the hash ``h``, each in a lane of its own."""
+    return F.shiftrightunsigned("h", j).bitwiseAND(F.lit(sum(1 << b for b in range(0, 64, width))))
+
+
+def _folded(width: int) -> Column:
+    """The fingerprint of a line of many words, whose hashes ``hs`` are summed inside the row."""
+    zero, spread = F.lit(0).cast("bigint"), sum(1 << b for b in range(0, 64, width))
+
+    def one(j: int) -> Column:
+        return F.aggregate("hs", zero, lambda total, h: total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(spread)))
+
+    return _majority(width, [one(j) for j in range(width)])
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc, line_no, digest, size, fp)``, ``size`` in characters; the last three null for lines without words.
 
-    The counts of a line are complete in the task that reads it; one row a line is shuffled.
+    Words of lines of up to ``LANES[0]`` words are listed as rows and summed by line; the sums of a line
+    are complete in the task that reads it, and one row a line is shuffled.
     """
     named = lines(docs, id_col, text_col).select("doc", "line_no", normal(F.col("line")).alias("text"), F.monotonically_increasing_id().alias("at"))
     worded = F.length("text") > 0
     split = F.when(worded, F.array_distinct(F.split("text", " ")))
     listed = named.select("at", "doc", "line_no", F.when(worded, F.unhex(F.md5("text"))).alias("digest"), F.length("text").alias("size"), split.alias("w"))
-    # The fewer words, the narrower the lanes and the fewer counters to fill; the bits are the same.
-    keys = ["at", "doc", "line_no", "digest", "size", "n"]
-    hashed = listed.select(*keys[:-1], F.coalesce(F.size("w"), F.lit(0)).alias("n"), F.explode_outer("w").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
-    counters, fp, above = [], F.lit(None).cast("bigint"), 0
-    for most, width in LANES:
-        fits = F.col("n").between(above + 1, most)
-        counters += _counts(width, fits)
-        fp = F.when(fits, _majority(width)).otherwise(fp)
-        above = most
-    counted = hashed.groupBy(*keys).agg(*counters)
-    return counted.select("doc", "line_no", "digest", F.when(F.col("n") > 0, F.col("size")).alias("size"), fp.alias("fp"))
+    counted = listed.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+    (few, narrow), *wide = LANES
+    hashes = counted.withColumn("hs", F.when(F.col("n") > few, F.transform("w", lambda x: F.xxhash64(x))))
+    long, above = F.lit(None).cast("bigint"), few
+    for most, width in wide:
+        long, above = F.when(F.col("n").between(above + 1, most), _folded(width)).otherwise(long), most
+    keys = ["at", "doc", "line_no", "digest", "size", "n", "long"]
+    rows = hashes.select(*keys[:-1], long.alias("long"), F.explode_outer(F.when(F.col("n") <= few, F.col("w"))).alias("word")).select(*keys, F.xxhash64("word").alias("h"))
+    summed = rows.groupBy(*keys).agg(*[F.sum(_lane(j, narrow)).alias(f"c{j}") for j in range(narrow)])
+    short = F.when(F.col("n").between(1, few), _majority(narrow, [F.col(f"c{j}") for j in range(narrow)]))
+    return summed.select("doc", "line_no", "digest", F.when(F.col("n") > 0, F.col("size")).alias("size"), F.coalesce("long", short).alias("fp"))
 
 
 def _close(fps: str) -> Column:

@@ -64,31 +64,23 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place: dict[str, int] = {}
         self.bytes = 0
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
 
-    def learn(self, fresh: list[bytes]) -> None:
-        """Remember new stretches. Full stops and commas after a letter are a token run of their own."""
-        cores = [w.rstrip(b".,") for w in fresh]
-        cores = [c if c and c[-1:].isalnum() else w for c, w in zip(cores, fresh, strict=True)]
-        tails = [w[len(c) :] for c, w in zip(cores, fresh, strict=True)]
-        parts = sorted({*cores, *tails}, key=lambda x: not x.decode("utf-8", "replace").isalpha())  # words of letters first
-        at = dict(zip(parts, range(len(parts)), strict=True))
-        ids, sizes = self.ask([x.decode("utf-8", "replace") for x in parts])
-        starts = np.cumsum(sizes) - sizes
-        both = np.empty(2 * len(fresh), np.int64)
-        both[0::2] = np.fromiter(map(at.__getitem__, cores), np.int64, len(fresh))
-        both[1::2] = np.fromiter(map(at.__getitem__, tails), np.int64, len(fresh))
-        new = ragged(ids, starts[both], sizes[both])
-        lengths = sizes[both[0::2]] + sizes[both[1::2]]
-        self.bytes += sum(map(len, fresh)) + EACH * len(fresh)
-        self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.sizes = np.concatenate([self.sizes, lengths])
-        self.ids = np.concatenate([self.ids, new])
+    def learn(self, fresh: list[str]) -> dict[str, int]:
+        """Add new stretches, words of letters first, and return their places."""
+        ordered = [w for w in fresh if w.isalpha()]
+        if len(ordered) < len(fresh):
+            ordered += [w for w in fresh if not w.isalpha()]
+        ids, sizes = self.ask(ordered)
+        places = dict(zip(ordered, range(len(self.sizes), len(self.sizes) + len(ordered)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        return places
 
     def ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The library's ids of all words, and the number of ids of each; words of letters come first."""
@@ -115,22 +107,32 @@ class Encoder:
         """All ids of the texts, each text's followed by ``END``, and the number of ids of each.
 
         Splitting, lower-casing and numbering of the stretches are Arrow's; Python sees each
-        distinct stretch of ``texts`` once.
+        distinct stretch of ``texts`` once. Full stops and commas after a letter or digit are a token
+        run of their own, so they are split off. What does not fit into ``REMEMBERED_BYTES`` any more
+        is forgotten again.
         """
-        if self.bytes > REMEMBERED_BYTES:
-            self.forget()
         texts = pc.fill_null(texts, "")
         lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))  # special strings keep their case
-        words, counts = split(lowered)
+        words, counts = split(pc.replace_substring_regex(lowered, r"([0-9A-Za-z])([.,]+)(\s|$)", r"\1 \2\3"))
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-        if fresh := [w for w in distinct if w not in self.place]:
-            self.learn(fresh)
-        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        distinct = coded.dictionary.to_pylist()
+        n_known, n_ids = len(self.sizes), len(self.ids)
+        places = np.fromiter((self.place.get(w, -1) for w in distinct), np.int64, len(distinct))
+        missing = np.flatnonzero(places < 0)
+        fresh = [distinct[k] for k in missing.tolist()]
+        if fresh:
+            new = self.learn(fresh)
+            places[missing] = np.fromiter(map(new.__getitem__, fresh), np.int64, len(fresh))
         at = places[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[at]
         flat = ragged(self.ids, self.starts[at], sizes)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        room = self.bytes + sum(map(len, fresh)) + EACH * len(fresh)
+        if fresh and room <= REMEMBERED_BYTES:
+            self.place.update(new)
+            self.bytes = room
+        elif fresh:
+            self.ids, self.starts, self.sizes = self.ids[:n_ids], self.starts[:n_known], self.sizes[:n_known]
         return np.insert(flat, ends, END), np.diff(ends, prepend=0) + 1
 
 
@@ -153,7 +155,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, id_col: str = "do
         store, root = fs.FileSystem.from_uri(folder)
         stem = f"{root}/part-{part:06d}-{uuid.uuid4().hex[:12]}"
         counts, ids, total, out = [], [], 0, None
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             if out is None:
                 store.create_dir(root)
                 out = store.open_output_stream(f"{stem}.ids")
@@ -162,7 +164,6 @@ def write_token_files(docs: DataFrame, path: str, folder: str, id_col: str = "do
             counts.append(sizes)
             ids.append(batch.column("i"))
             total += len(flat)
-        encoder.forget()  # workers are used again; what they remember ends with the task
         if out is None:
             return
         out.close()
