@@ -19,6 +19,7 @@ from filigree.session import cut_lineage
 
 _INDEX_BITS = 33
 _EXACT = "_exact"
+_REST, _PLACE, _FIRST, _LARGE = "_rest", "_place", ("_first_sum", "_first_previous"), 1e12
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -44,13 +45,34 @@ def running(
 ) -> DataFrame:
     """Add the 1-based position in the group; with ``value`` also ``running_sum`` and ``previous``.
 
-    ``order`` should be unique inside a group. Doubles are added as decimals of ten places, so that
-    the sum does not depend on the order of the additions or on the plan.
+    ``order`` should be unique inside a group. Doubles below ``_LARGE`` are added as decimals of 14
+    places, so that the sum does not depend on the order of the additions or on the plan. What a
+    decimal does not hold (smaller digits, larger values, infinities, NaN) is added as doubles in a
+    second pass, which only data with such values needs. From a NaN on the sum is NaN.
     """
     if value is not None and df.schema[value].dataType.typeName() in ("double", "float"):
         kind = df.schema[value].dataType.simpleString()
-        exact = running(df.withColumn(_EXACT, F.col(value).cast("decimal(27,10)")), keys, order, _EXACT, position, hot_rows)
-        return exact.withColumns({c: F.col(c).cast(kind) for c in ("running_sum", "previous")}).drop(_EXACT)
+        double = F.col(value).cast("double")
+        fits = F.abs(double) < _LARGE  # false for NaN, which counts as larger than any number
+        exact = F.when(fits, double.try_cast("decimal(38,14)")).when(double.isNotNull(), F.lit(0).cast("decimal(38,14)"))
+        split = df.withColumn(_EXACT, exact).withColumn(_REST, double - F.col(_EXACT).cast("double"))
+        summed = running(split, keys, order, _EXACT, position, hot_rows)
+        summed = summed.withColumns({c: F.col(c).cast("double") for c in ("running_sum", "previous")})
+        if not split.where(F.col(_REST) != 0).isEmpty():
+            first = summed.withColumnsRenamed({"running_sum": _FIRST[0], "previous": _FIRST[1]})
+            second = running_doubles(first, keys, order, _REST, hot_rows)
+            summed = second.withColumns({c: F.col(c) + F.col(f) for c, f in zip(("running_sum", "previous"), _FIRST)}).drop(*_FIRST)
+        return summed.withColumns({c: F.col(c).cast(kind) for c in ("running_sum", "previous")}).drop(_EXACT, _REST)
+    return _running(df, keys, order, value, position, hot_rows)
+
+
+def running_doubles(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot_rows: int = 1_000_000) -> DataFrame:
+    """``running_sum`` and ``previous`` of a double column by plain additions."""
+    return _running(df, keys, order, value, _PLACE, hot_rows).drop(_PLACE)
+
+
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None, position: str, hot_rows: int) -> DataFrame:
+    """One window for groups up to ``hot_rows``, range partitions beyond."""
     if largest_group(df, keys) <= hot_rows:
         ordered = Window.partitionBy(*keys).orderBy(*[sort_key(c) for c in order])
         out = df.withColumn(position, F.row_number().over(ordered).cast("bigint"))
@@ -92,8 +114,8 @@ def _running_by_ranges(
         here = F.sum(value).over(upto)
         before = F.col("_sum_before")
         if value == _EXACT:  # one digit less, so that the addition keeps all places
-            here, before = here.cast("decimal(37,10)"), before.cast("decimal(37,10)")
-        new["running_sum"] = F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0).cast("decimal(37,10)") if value == _EXACT else F.lit(0)))
+            here, before = here.cast("decimal(37,14)"), before.cast("decimal(37,14)")
+        new["running_sum"] = F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0).cast("decimal(37,14)") if value == _EXACT else F.lit(0)))
         first = F.row_number().over(local) == 1
         new["previous"] = F.when(first, F.col(f"_last_before.{value}")).otherwise(F.lag(value).over(local))
     return out.withColumns(new).select(*df.columns, *new)

@@ -23,6 +23,7 @@ PRIORITY_SECTIONS = (1, 8, 10)
 WEIGHT_TIERS = ((2.0, "sp500_mega"), (0.5, "sp500_large"), (0.2, "sp500_mid"))
 QUALITY_TIERS = ((1200.0, "notable_tier1"), (1000.0, "notable_tier2"), (900.0, "notable_tier3"))
 BANK_NAMES = ("%BANCORP%", "%BANK%", "%FINANCIAL CORP%")
+ROW = "_target_row"
 TARGET_COLUMNS = ("company_name", "ticker", "source", "tier", "weight_pct", "quality_score")
 
 
@@ -225,7 +226,7 @@ def match_by_id(targets: DataFrame, dim: DataFrame) -> DataFrame:
     wanted = targets.withColumn("_id", F.col("cik").try_cast("bigint"))
     found = dim.select(F.col("cik_int").alias("final_cik_int"))
     return wanted.join(found, F.col("_id") == F.col("final_cik_int")).select(
-        F.col("cik").alias("target_cik"), "final_cik_int", *TARGET_COLUMNS, F.lit("CIK_MATCH").alias("match_method")
+        ROW, F.col("cik").alias("target_cik"), "final_cik_int", *TARGET_COLUMNS, F.lit("CIK_MATCH").alias("match_method")
     )
 
 
@@ -233,25 +234,26 @@ def match_by_ticker(targets: DataFrame, dim: DataFrame) -> DataFrame:
     """Targets whose ticker is listed for a company; of several the latest filer, then the larger one."""
     wanted = targets.filter(F.coalesce("ticker", F.lit("")) != "").withColumn("_t", F.upper("ticker"))
     found = dim.select("cik_int", "all_tickers", "latest_filing_date", "n_filings")
-    # Targets without an id are told apart by their other columns.
-    own = F.when(F.col("cik").isNull(), F.to_json(F.struct(*TARGET_COLUMNS)))
-    pairs = list_contains_join(wanted, found, "_t", "all_tickers").withColumns(
-        {"target_cik": F.col("cik"), "_own": own, "_lowest": -F.col("cik_int")}
-    )
+    pairs = list_contains_join(wanted, found, "_t", "all_tickers").withColumns({"target_cik": F.col("cik"), "_lowest": -F.col("cik_int")})
     best = last_by_key(
-        pairs.select("target_cik", "_own", "cik_int", "latest_filing_date", "n_filings", "_lowest", *TARGET_COLUMNS),
-        ["target_cik", "_own"],
+        pairs.select(ROW, "target_cik", "cik_int", "latest_filing_date", "n_filings", "_lowest", *TARGET_COLUMNS),
+        [ROW],
         ["latest_filing_date", "n_filings", "_lowest"],
     )
     return best.select(
-        "target_cik", F.col("cik_int").alias("final_cik_int"), *TARGET_COLUMNS, F.lit("TICKER_MATCH").alias("match_method")
+        ROW, "target_cik", F.col("cik_int").alias("final_cik_int"), *TARGET_COLUMNS, F.lit("TICKER_MATCH").alias("match_method")
     )
 
 
+def numbered_targets(targets: DataFrame) -> DataFrame:
+    """``targets`` as a written table with a number for each row, by which rows of one id, or of none, are told apart."""
+    return cut_lineage(targets.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def resolve_tiers(targets: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Matches by id, and matches by ticker of the targets that have none by id."""
+    """Matches by id, and matches by ticker of the rows of ``numbered_targets`` that have none by id."""
     first = match_by_id(targets, dim)
-    left = targets.join(first.select(F.col("target_cik").alias("cik")), "cik", "left_anti")
+    left = targets.join(first.select(ROW), ROW, "left_anti")
     return first, match_by_ticker(left, dim)
 
 
@@ -261,7 +263,7 @@ def resolve_entities(targets: DataFrame, dim: DataFrame) -> DataFrame:
     When several targets resolve to one company the index member wins, then the
     better weighted, then the first by name.
     """
-    first, second = resolve_tiers(targets, dim)
+    first, second = resolve_tiers(numbered_targets(targets), dim)
     both = first.unionByName(second).withColumns(
         {
             "_rank": _source_rank(F.col("source")),
@@ -278,12 +280,13 @@ def resolve_entities(targets: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def resolution_summary(targets: DataFrame, dim: DataFrame) -> DataFrame:
-    """Labelled counts of the two matching steps."""
-    first, second = resolve_tiers(targets, dim)
+    """Labelled counts of the two matching steps, over rows of ``targets``; ids may be null or repeated."""
+    rows = numbered_targets(targets)
+    first, second = resolve_tiers(rows, dim)
     marked = (
-        targets.select("cik", "ticker")
-        .join(first.select(F.col("target_cik").alias("cik"), F.lit(1).alias("m1")), "cik", "left")
-        .join(second.select(F.col("target_cik").alias("cik"), F.lit(1).alias("m2")), "cik", "left")
+        rows.select(ROW, "ticker")
+        .join(first.select(ROW, F.lit(1).alias("m1")), ROW, "left")
+        .join(second.select(ROW, F.lit(1).alias("m2")), ROW, "left")
     )
     no_id = F.col("m1").isNull()
     has_ticker = F.coalesce("ticker", F.lit("")) != ""

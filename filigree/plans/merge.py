@@ -41,15 +41,23 @@ def normalise_times(df: DataFrame) -> DataFrame:
 
 
 def align_to(df: DataFrame, base: StructType) -> DataFrame:
-    """Columns of ``base`` in its order and types; missing ones are null."""
+    """Columns of ``base`` in its order and types; missing ones and values that do not fit the type are null."""
     return df.select(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in base.fields
         ]
     )
 
 
+def malformed_values(df: DataFrame, base: StructType) -> DataFrame:
+    """``(column_name, n_malformed)``: how many values of each shared column ``align_to`` turns into null."""
+    shared = [f for f in base.fields if f.name in df.columns]
+    lost = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in shared]
+    pairs = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("n_malformed")) for f in shared]
+    return df.agg(*lost).select(F.inline(F.array(*pairs)))
+
+
 def extra_columns(df: DataFrame, base: StructType) -> list[str]:
     """Columns that ``align_to`` would drop."""
     return [c for c in df.columns if c not in base.fieldNames()]

@@ -323,3 +323,24 @@ def test_sampling_run_with_injection(spark, tmp_path):
     assert [r["step_name"] for r in run.log.orderBy("step_number").collect()][-1] == "VALIDATION"
     problems = {r["check_name"] for r in report_problems(run.report).collect()}
     assert "4 sections" in problems and "12 summary" not in problems
+
+
+def test_resolution_steps_count_rows(spark):
+    """Targets without an id, of one id, and alike in all columns are counted each by itself."""
+    dim = spark.createDataFrame([(1, ["AA"], "2020-01-01", 3), (2, ["BB"], "2021-01-01", 5)], "cik_int long, all_tickers array<string>, latest_filing_date string, n_filings long")
+    names = "cik string, company_name string, ticker string, source string, tier string, weight_pct double, quality_score double"
+    rows = [("1", "one", "aa", "sp500", "t", 1.0, None), ("1", "one again", None, "notable", "t", None, 5.0), (None, "two", "bb", "sp500", "t", 1.0, None), (None, "none", "zz", "sp500", "t", 1.0, None), ("9", "x", "aa", "notable", "t", None, 1.0), ("9", "y", "bb", "notable", "t", None, 2.0), ("8", "same", None, "notable", "t", None, 1.0), ("8", "same", None, "notable", "t", None, 1.0)]
+    targets = spark.createDataFrame(rows, names)
+    got = {r.step: r.n_companies for r in c.resolution_summary(targets, dim).collect()}
+    assert got == {"id_matches": 2, "tried_by_ticker": 4, "ticker_matches": 3, "matched": 5, "unmatched": 3}
+    assert {(r.cik_int, r.company_name) for r in c.resolve_entities(targets, dim).collect()} == {(1, "one"), (2, "two")}
+
+
+def test_malformed_values_become_null_and_are_counted(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+
+    base = StructType([StructField("t", TimestampType()), StructField("n", IntegerType()), StructField("s", StringType()), StructField("new", StringType())])
+    df = spark.createDataFrame([("2020-01-01 00:00:00", "1", "a"), ("not a time", "x", "b"), (None, "7", None), ("2020-13-45", "99999999999", "c")], "t string, n string, s string")
+    got = m.align_to(df, base).collect()
+    assert [r.t is None for r in got] == [False, True, True, True] and [r.n for r in got] == [1, None, 7, None] and all(r.new is None for r in got)
+    assert {r.column_name: r.n_malformed for r in m.malformed_values(df, base).collect()} == {"t": 2, "n": 2, "s": 0}

@@ -277,3 +277,18 @@ def test_shared_folder_is_the_configured_one():
     with pytest.raises(RuntimeError):
         shared_dir(FakeSession("spark://host:7077"))
     assert shared_dir(FakeSession("local[2]"))
+
+
+def test_running_keeps_whole_doubles(spark):
+    """Small digits, large values and NaN, in one window and by ranges."""
+    values = [1e-12, 0.123456789012345, 2.5, 1e18, -1e18, 3.0, None, float("nan"), 1.0]
+    df = spark.createDataFrame([(1, k, v) for k, v in enumerate(values)] + [(2, 0, 1e-12), (2, 1, 2e-12)], "g int, o int, x double")
+    for hot in (10**6, 0):
+        got = {(r.g, r.o): r for r in w.running(df, ["g"], ["o"], "x", hot_rows=hot).collect()}
+        assert got[2, 1].running_sum == pytest.approx(3e-12, rel=1e-12) and got[2, 1].previous == 1e-12
+        for k in range(1, len(values)):
+            before = got[1, k].previous
+            assert before == values[k - 1] or (before != before and values[k - 1] != values[k - 1])
+        assert got[1, 2].running_sum == pytest.approx(2.623456789013345, rel=1e-15)
+        assert got[1, 3].running_sum == pytest.approx(1e18) and got[1, 6].running_sum is not None
+        assert got[1, 7].running_sum != got[1, 7].running_sum and got[1, 8].running_sum != got[1, 8].running_sum
