@@ -137,7 +137,7 @@ def fingerprint_sql(limit: str) -> str:
     arms = [
         f"WHEN {n} > greatest({', '.join(o for o in x.DOMINANT if o != n)}) THEN '{label}'" for n, label in x.DOMINANT.items()
     ] + [f"WHEN {n} > 0.02 * n_sampled THEN '{label}'" for n, label in x.FREQUENT.items()]
-    return on_sentences(f"""SELECT section, n_sampled, {shares}, CASE {' '.join(arms)} ELSE 'unclear' END AS inferred_identity, sample_text
+    return on_sentences(f"""SELECT section, n_sampled, {shares}, CASE {' '.join(arms)} ELSE '{x.UNCLEAR}' END AS inferred_identity, sample_text
 FROM (SELECT section, count(*) AS n_sampled, {counts}, string_agg(left(sentence, 100), ' || ' ORDER BY rn) FILTER (rn <= 3) AS sample_text
   FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY md5('42|' || sentenceID), sentenceID, sentence) AS rn
         FROM sentences WHERE length(sentence) > 50) WHERE {limit} GROUP BY section)""")
