@@ -45,6 +45,13 @@ TARGETS = """targets AS (
   FROM customer
 )"""
 
+PASSAGES = """passages AS (
+  SELECT o_orderkey AS passage_id, CAST(CASE WHEN vec_id % 3 = 0 THEN 0 ELSE vec_id % 10 END AS BIGINT) AS cik,
+         CAST(o_orderkey % 5 AS BIGINT) AS section, CAST(floor(year(o_orderdate) / 10) * 10 AS BIGINT) AS decade,
+         list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) + CASE WHEN i - 1 = o_orderkey % 64 THEN CAST(o_orderkey % 9 AS DOUBLE) / 16 ELSE 0 END) AS vector
+  FROM orders JOIN embeddings ON vec_id = o_custkey % (SELECT count(*) FROM embeddings)
+)"""
+
 EVENTS_SPLIT = """base AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-24'),
 incr AS (SELECT event_id, ts, user_id, event_type, value + 1 AS value, props
          FROM events WHERE ts >= TIMESTAMP '2024-01-18')"""

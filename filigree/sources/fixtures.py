@@ -109,6 +109,21 @@ class Tables:
             F.when(F.col("c_acctbal") < 5000, F.col("c_acctbal")).alias("quality_score"),
         )
 
+    @property
+    def passages(self) -> DataFrame:
+        """Vector of one passage an order: an embedding with one value raised, owned by a company that may be hot."""
+        count = self.embeddings.agg(F.count("*").alias("n_vectors"))
+        base = self.orders.crossJoin(F.broadcast(count)).withColumn("vec_id", F.col("o_custkey") % F.col("n_vectors"))
+        key = F.col("o_orderkey")
+        raised = F.transform("embedding", lambda x, i: x.cast("double") + F.when(i == key % 64, (key % 9) / 16.0).otherwise(0.0))
+        return base.join(self.embeddings, "vec_id").select(
+            key.alias("passage_id"),
+            F.when(F.col("vec_id") % 3 == 0, F.lit(0)).otherwise(F.col("vec_id") % 10).cast("bigint").alias("cik"),
+            (key % 5).cast("bigint").alias("section"),
+            (F.floor(F.year("o_orderdate") / 10) * 10).cast("bigint").alias("decade"),
+            raised.alias("vector"),
+        )
+
     @property
     def base_events(self) -> DataFrame:
         """Merge base: everything before 24 January."""
