@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "sampling", "features", "relational", "aggregation", "windows", "columns", "storage", "merging", "companies", "profiles", "checks", "texts", "kpis", "streams", "vectors",
+    "sampling", "features", "relational", "aggregation", "windows", "columns", "storage", "merging", "companies", "profiles", "checks", "texts", "kpis", "streams", "vectors", "chunks",
 )
 
 

@@ -52,6 +52,13 @@ PASSAGES = """passages AS (
   FROM orders JOIN embeddings ON vec_id = o_custkey % (SELECT count(*) FROM embeddings)
 )"""
 
+SPLIT_SENTENCES = """cut_lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line, unnest(string_split(text, chr(10))) AS whole FROM documents
+), split_sentences AS (
+  SELECT doc_id, CAST(line // 20 AS BIGINT) AS section, line, generate_subscripts(string_split(whole, '. '), 1) - 1 AS place,
+         unnest(string_split(whole, '. ')) AS sentence FROM cut_lines
+)"""
+
 EVENTS_SPLIT = """base AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-24'),
 incr AS (SELECT event_id, ts, user_id, event_type, value + 1 AS value, props
          FROM events WHERE ts >= TIMESTAMP '2024-01-18')"""

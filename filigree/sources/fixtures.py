@@ -124,6 +124,13 @@ class Tables:
             raised.alias("vector"),
         )
 
+    @property
+    def split_sentences(self) -> DataFrame:
+        """Sentences of the documents, cut at a full stop and a blank; every twenty lines are a section."""
+        lines = self.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "whole"))
+        section = F.floor(F.col("line") / 20).cast("bigint")
+        return lines.select("doc_id", section.alias("section"), "line", F.posexplode(F.split("whole", r"\. ", -1)).alias("place", "sentence"))
+
     @property
     def base_events(self) -> DataFrame:
         """Merge base: everything before 24 January."""
