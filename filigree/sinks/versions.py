@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARK = "_PUBLISHED"
+MARK, LEDGER = "_PUBLISHED", "_BATCHES"
 
 
 class VersionedTable:
@@ -17,6 +17,9 @@ class VersionedTable:
     leaves the current version as it was. With ``by``, a column that the key determines (a year,
     a range of keys), versions are written by partition, and a version may take over the
     partitions of an earlier one that did not change; the marker lists the folders it consists of.
+    A version also tells which batch of each stream it holds last (``record``, ``last_batch``). That
+    ledger lies in the version's folder before the marker does, so data and ledger become current at
+    once; versions written by other means take it over.
     """
 
     def __init__(self, path: str, max_versions: int = 2, codec: str = "zstd", by: str | None = None):
@@ -69,11 +72,37 @@ class VersionedTable:
         out.close()
 
     def _manifest(self, spark: SparkSession, version: int) -> dict:
+        return json.loads(self._get(spark, f"{self.folder(version)}/_PARTS"))
+
+    def _get(self, spark: SparkSession, name: str) -> str:
         fs, _, path = self._fs(spark)
-        stream = fs.open(path(f"{self.folder(version)}/_PARTS"))
+        stream = fs.open(path(name))
         text = bytes(stream.readAllBytes()).decode()
         stream.close()
-        return json.loads(text)
+        return text
+
+    def _ledger(self, spark: SparkSession, version: int) -> dict[str, int]:
+        fs, _, path = self._fs(spark)
+        name = f"{self.folder(version)}/{LEDGER}"
+        return json.loads(self._get(spark, name)) if fs.exists(path(name)) else {}
+
+    def last_batch(self, spark: SparkSession, stream: str) -> int:
+        """The last batch of ``stream`` that the newest published version holds, -1 before the first."""
+        found = self.versions(spark)
+        return self._ledger(spark, found[-1]).get(stream, -1) if found else -1
+
+    def record(self, spark: SparkSession, version: int, stream: str, batch: int) -> None:
+        """Note in a staged version that it holds ``batch`` of ``stream``, beside what the newest published one holds."""
+        found = self.versions(spark)
+        held = self._ledger(spark, found[-1]) if found else {}
+        self._put(spark, f"{self.folder(version)}/{LEDGER}", json.dumps(held | {stream: batch}))
+
+    def discard_unpublished(self, spark: SparkSession, stream: str, batch: int) -> None:
+        """Remove versions that a stopped run staged for ``batch`` of ``stream`` and did not publish."""
+        published = set(self.versions(spark))
+        for v in self.versions(spark, published=False):
+            if v not in published and self._ledger(spark, v).get(stream) == batch:
+                self.discard(spark, v)
 
     def parts(self, spark: SparkSession, version: int) -> dict[str, str]:
         """Where each partition of a version lies, below the table's folder."""
@@ -85,6 +114,10 @@ class VersionedTable:
         Partitions that a kept version still consists of stay.
         """
         fs, _, path = self._fs(spark)
+        before = self.versions(spark)
+        held = self._ledger(spark, before[-1]) if before else {}
+        if held and not fs.exists(path(f"{self.folder(version)}/{LEDGER}")):
+            self._put(spark, f"{self.folder(version)}/{LEDGER}", json.dumps(held))
         fs.create(path(f"{self.folder(version)}/{MARK}")).close()
         published = self.versions(spark)
         old, kept = published[: -self.max_versions], published[-self.max_versions :]

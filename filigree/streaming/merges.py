@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,25 +45,43 @@ def first_rows_of_stream(stream: DataFrame, n: int, out: str, checkpoint: str) -
     return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream at its first start and keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+
+
 def merge_stream(
     stream: DataFrame, base: DataFrame, out: VersionedTable, key: str, tie_break: Sequence[str], checkpoint: str
 ) -> DataFrame:
-    """Merge every batch into the newest version of ``out``, starting from ``base``.
-
-    A batch that is repeated after a failure merges the same keys again; because the
-    increment always wins, the result does not change. Readers see whole versions only. A table
-    with partitions rewrites only those that a batch falls into.
+    """Merge every batch into the newest version of ``out``, starting from ``base``, each exactly once.
+
+    A version names the last batch it holds of each stream, and becomes current together with that
+    note. A batch that is repeated after a failure finds itself there and writes nothing; one that
+    was staged and not published is written anew. The stream is known by the id that Spark keeps in
+    ``checkpoint``, so a restart goes on and a new checkpoint begins again. Readers see whole versions
+    only. A table with partitions rewrites only those that a batch falls into. One stream at a time
+    may write to a table.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        name = _stream_id(spark, checkpoint)
+        if out.last_batch(spark, name) >= batch_id:
+            return
+        out.discard_unpublished(spark, name, batch_id)
         current = out.read(spark)
-        if current is None:
-            out.write(merged_rows(base, batch, key, tie_break))
-        elif out.by:
-            out.publish(spark, merge_parts(spark, batch, out, key, tie_break)[0])
-        else:
-            out.write(merged_rows(current, batch, key, tie_break, base_is_unique=True))
+        rows = batch.persist()  # read several times below
+        try:
+            if current is None:
+                version = out.stage(merged_rows(base, rows, key, tie_break))
+            elif out.by:
+                version = merge_parts(spark, rows, out, key, tie_break)[0]
+            else:
+                version = out.stage(merged_rows(current, rows, key, tie_break, base_is_unique=True))
+        finally:
+            rows.unpersist()
+        out.record(spark, version, name, batch_id)
+        out.publish(spark, version)
 
     query = (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
