@@ -11,7 +11,8 @@ from filigree.operators.joins import anti
 from filigree.operators.keyed import first_by_key
 from filigree.plans import sampling as s
 from filigree.plans.sections import dim_sections
-from filigree.session import cut_lineage
+from filigree.plans.subsets import read_share, write_shares
+from filigree.session import cut_lineage, fresh_path
 from filigree.sources.fixture_sql import SENTENCES, bin_case, with_views
 from filigree.sources.fixtures import THREE, Tables
 
@@ -262,3 +263,18 @@ def _(t):
 )
 def _(t):
     return anti(company_keys(t), sample_ids(t)[1].filter(F.col("section") == 1), "cik_int")
+
+
+@catalog.query(
+    "p27_nested_shares",
+    """
+WITH b AS (SELECT *, CAST(('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 100 AS share_bucket FROM orders)
+SELECT share_bucket < 14 AS smaller, o_orderkey, o_custkey, share_bucket FROM b WHERE share_bucket < 35
+""",
+)
+def _(t):
+    """Orders of 35 of 100 customers' buckets, and which of them a share of 14 holds: both read from one stored layout."""
+    folder = write_shares(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", fresh_path(t.spark, "shares"))
+    small = read_share(t.spark, folder, 14).select("o_orderkey", F.lit(True).alias("smaller"))
+    wide = read_share(t.spark, folder, 35).join(small, "o_orderkey", "left")
+    return wide.select(F.coalesce("smaller", F.lit(False)).alias("smaller"), "o_orderkey", "o_custkey", F.col("share_bucket").cast("bigint").alias("share_bucket"))

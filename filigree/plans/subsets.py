@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.functions.bins import Bin
@@ -50,3 +50,28 @@ def run_subsets(
         )
         out[s.name] = fact.sparkSession.read.parquet(write_parquet(ordered, f"{folder}/{s.name}"))
     return out
+
+
+def share_bucket(key: Column, modulus: int = 100) -> Column:
+    """The bucket of a key, 0 to ``modulus - 1``, from its MD5; a null key counts as empty text."""
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % modulus).cast("int")
+
+
+def write_shares(df: DataFrame, key: str, folder: str, modulus: int = 100) -> str:
+    """Store ``df`` by hash buckets of ``key``, so that a share reads only its own files.
+
+    All rows of a key lie in one bucket. Buckets are dealt out by ranges of bucket and digest, and a
+    frequent key's rows by their position too, so a large bucket is written by several tasks.
+    """
+    if "share_bucket" in df.columns:
+        raise ValueError("the column name share_bucket is taken")
+    placed = df.withColumn("share_bucket", share_bucket(F.col(key), modulus)).withColumn("_tie", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange("share_bucket", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), "_tie").drop("_tie")
+    dealt.sortWithinPartitions("share_bucket").write.mode("errorifexists").partitionBy("share_bucket").parquet(folder)
+    return folder
+
+
+def read_share(spark: SparkSession, folder: str, keep: int) -> DataFrame:
+    """The rows of the buckets below ``keep``; a larger share holds every row of a smaller one."""
+    return spark.read.parquet(folder).where(F.col("share_bucket") < keep)

@@ -20,7 +20,7 @@ REPRESENTATIVE = (
     "src9_first_rows_of_stream", "p8_merge_into_partitions", "p8_merge_history", "p9_dedupe_sentences", "p17_resolved_entities",
     "p20_coverage_summary", "p30_corpus_scale", "a15_src2_column_profile", "a18_grain_check", "t5_section_fingerprint",
     "t7_guessed_text_columns_stats", "w12_cumulative_doubles", "w12_cumulative_doubles_by_ranges", "p39_join_quality",
-    "v2_nearest_with_company_quota", "c1_sliding_chunks", "c2_density_chunks",
+    "v2_nearest_with_company_quota", "c1_sliding_chunks", "c2_density_chunks", "p27_nested_shares",
 )
 NAMES = sorted(oracle_sql()) if os.environ.get("FILIGREE_ALL") else REPRESENTATIVE
 
