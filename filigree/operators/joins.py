@@ -20,6 +20,15 @@ def broadcast_up_to(df: DataFrame, max_bytes: int) -> DataFrame:
     return F.broadcast(df) if total <= max_bytes else df
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is shuffled, whatever the planner takes its size to be.
+
+    Files of companies or names compress so well that the planner would send many rows through
+    the driver.
+    """
+    return df.hint("merge")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; keeps the keys once."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
@@ -64,33 +73,38 @@ def list_contains_join(left: DataFrame, right: DataFrame, key: str, list_column:
     return left.join(items, left[key] == items["_item"], how).drop("_item")
 
 
-def _pieces(text: Column, size: int) -> Column:
+def _pieces(text: Column, size: Column) -> Column:
     """All different substrings of ``size`` characters."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, F.lit(size))))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size)))
+
+
+PIECES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 
 
-def contains_join(names: DataFrame, patterns: DataFrame, name: str, pattern: str, sizes: Sequence[int] = (3, 2, 1)) -> DataFrame:
+def contains_join(names: DataFrame, patterns: DataFrame, name: str, pattern: str, sizes: Sequence[int] = PIECES) -> DataFrame:
     """Pairs of rows where ``name`` contains ``pattern``, for any number of patterns.
 
-    A pattern is looked up by one piece of three characters (of its length if it is shorter): the
-    one that the fewest names have. Names and patterns meet by an equi-join on that piece and are
+    A pattern is looked up by one of its pieces, the one that the fewest names have. Pieces have the
+    largest of ``sizes`` that the pattern holds: short ones would be shared by ever more names as
+    the table grows. Names and patterns meet by an equi-join on that piece and are
     then verified, so neither side is compared with the whole other side. An empty pattern is
     contained in every name; a null matches nothing. The column names of both sides must differ.
     """
     texts = patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct()
-    own = names.where(F.col(name).isNotNull())
-    found = None
-    for size in sizes:
-        fits = F.length(pattern) >= size if size == max(sizes) else F.length(pattern) == size
-        wanted = texts.where(fits).select(pattern, F.explode(_pieces(F.col(pattern), size)).alias("_piece"))
-        held = own.where(F.length(name) >= size).select(name).distinct().select(name, F.explode(_pieces(F.col(name), size)).alias("_piece"))
-        usual = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-        rarest = wanted.join(usual, "_piece").groupBy(pattern).agg(F.min(F.struct("_n", "_piece")).alias("_r"))
-        met = held.join(rarest.select(pattern, F.col("_r._piece").alias("_piece")), "_piece")
-        pairs = met.where(F.contains(F.col(name), F.col(pattern))).select(name, pattern)
-        found = pairs if found is None else found.unionByName(pairs)
-    found = found.unionByName(own.select(name).distinct().join(F.broadcast(texts.where(F.length(pattern) == 0)), how="cross"))  # one row
-    return names.join(found.distinct(), name).join(patterns, pattern)
+    own = by_shuffle(names.where(F.col(name).isNotNull()).select(name).distinct())
+    fitting = F.array_max(F.filter(F.array(*[F.lit(s) for s in sizes]), lambda s: s <= F.length(pattern)))
+    sized = texts.where(F.length(pattern) >= min(sizes)).withColumn("_size", fitting)
+    used = [r[0] for r in sized.select("_size").distinct().collect()]  # some of the sizes
+    wanted = sized.select(pattern, F.explode(_pieces(F.col(pattern), F.col("_size"))).alias("_piece"))
+    none = F.array().cast("array<string>")
+    cut = [F.when(F.length(name) >= s, _pieces(F.col(name), F.lit(s))).otherwise(none) for s in used]
+    held = own.select(name, F.explode(F.concat(none, *cut)).alias("_piece"))
+    usual = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = wanted.join(by_shuffle(usual), "_piece").groupBy(pattern).agg(F.min(F.struct("_n", "_piece")).alias("_r"))
+    met = by_shuffle(held).join(rarest.select(pattern, F.col("_r._piece").alias("_piece")), "_piece")
+    found = met.where(F.contains(F.col(name), F.col(pattern))).select(name, pattern)
+    found = found.unionByName(own.join(F.broadcast(texts.where(F.length(pattern) == 0)), how="cross"))  # one row
+    return by_shuffle(names).join(found.distinct(), name).join(by_shuffle(patterns), pattern)
 
 
 def any_of_join(
@@ -102,8 +116,8 @@ def any_of_join(
     An OR condition would become a nested loop over everything; each branch is an equi-join.
     """
     pair = [suspect_key, dim_key]
-    by_id = suspects.join(dim, suspects[id_pair[0]] == dim[id_pair[1]]).select(*pair)
-    by_item = list_contains_join(suspects, dim, item_pair[0], item_pair[1]).select(*pair)
+    by_id = suspects.join(by_shuffle(dim), suspects[id_pair[0]] == dim[id_pair[1]]).select(*pair)
+    by_item = list_contains_join(by_shuffle(suspects), dim, item_pair[0], item_pair[1]).select(*pair)
     named = dim.select(dim_key, F.upper(F.col(name_pair[1])).alias("_name")).distinct()
     patterns = suspects.select(suspect_key, F.col(name_pair[0]).alias("_pattern")).distinct()
     by_name = contains_join(named, patterns, "_name", "_pattern").select(*pair)

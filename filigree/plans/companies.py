@@ -12,7 +12,7 @@ from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.ordering import top_k
 from filigree.functions.text import NAME_SUFFIXES_SHORT, normalise_key, normalise_name, padded_key
 from filigree.operators.aggregates import quantiles
-from filigree.operators.joins import list_contains_join
+from filigree.operators.joins import by_shuffle, list_contains_join
 from filigree.operators.keyed import first_by_key, last_by_key
 from filigree.operators.numbering import global_row_number
 from filigree.operators.windows import top_per_group
@@ -58,7 +58,7 @@ def company_dim(df: DataFrame) -> DataFrame:
     tickers = grain.select("cik_int", F.explode("tickers").alias("ticker")).distinct()
     listed = tickers.groupBy("cik_int").agg(F.array_sort(F.collect_set("ticker")).alias("all_tickers"))
     companies = (
-        facts.join(ids, "cik_int").join(latest, "cik_int").join(listed, "cik_int", "left")
+        by_shuffle(facts).join(ids, "cik_int").join(latest, "cik_int").join(listed, "cik_int", "left")
         .withColumn("all_tickers", F.coalesce("all_tickers", F.array().cast("array<string>")))
     )
     return companies.withColumns(
@@ -315,11 +315,11 @@ def match_status(targets: DataFrame, ids: DataFrame) -> DataFrame:
 
 def coverage(listed: DataFrame, dim: DataFrame, pairs: DataFrame, listed_key: str) -> DataFrame:
     """Every listed company with what the dimension knows of it; ``pairs`` links both keys."""
-    found = pairs.join(dim, "cik_int").select(
+    found = by_shuffle(pairs).join(dim, "cik_int").select(
         listed_key, "cik_int", F.col("company_name").alias("found_name"), "all_tickers", "n_sentences", "n_filings",
         "earliest_year", "latest_year",
     )
-    joined = listed.join(found, listed_key, "left")
+    joined = by_shuffle(listed).join(found, listed_key, "left")
     return joined.withColumn("status", F.when(F.col("cik_int").isNull(), "MISSING").otherwise("PRESENT"))
 
 
