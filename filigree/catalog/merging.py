@@ -8,6 +8,7 @@ from filigree.catalog.registry import Catalog
 from filigree.operators.aggregates import long_form
 from filigree.operators import schemas as sc
 from filigree.operators.keyed import dedupe_last
+from filigree.operators.numbering import key_ranges
 from filigree.plans import merge as m
 from filigree.plans.sections import dim_sections
 from filigree.session import fresh_path
@@ -47,8 +48,8 @@ def _(t):
     with_views("\nSELECT event_id, user_id, event_type, value FROM merged", EVENTS_SPLIT, MERGED),
 )
 def _(t):
-    """The base in partitions of a thousand keys, the increment merged into those it falls into."""
-    part = F.floor(F.col("event_id") / 1000).cast("bigint")
+    """The base in ranges of a thousand keys or more, the increment merged into those it falls into."""
+    part = key_ranges(t.events, "event_id")
     out = VersionedTable(fresh_path(t.spark, "merge-parts"), by="part")
     base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("part", part)
     m.merge_job(t.spark, base, base.limit(0), out, "event_id", ["ts"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filigree.catalog.registry import Catalog
+from filigree.operators.numbering import key_ranges
 from filigree.session import fresh_path
 from filigree.sinks.versions import VersionedTable
 from filigree.sinks.writers import write_parquet
@@ -34,7 +35,7 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY src DESC, ts DESC) = 1
 )
 def _(t):
     """The increment arrives in several batches and is merged into a versioned table."""
-    part = F.floor(F.col("event_id") / 1000).cast("bigint").alias("part")
+    part = key_ranges(t.events, "event_id").alias("part")
     base = t.base_events.withColumn("ts", F.col("ts").cast("timestamp")).select("*", part)
     increment = t.increment_events.select("*", part)
     landing = write_parquet(increment.repartition(3), fresh_path(t.spark, "landing"))

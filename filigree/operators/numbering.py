@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filigree.functions.ordering import sort_key
@@ -47,6 +47,18 @@ def global_row_number(
     return saved.join(F.broadcast(offsets), "_part").select(number.alias(name), *df.columns)
 
 
+def key_ranges(keys: DataFrame, key: str, rows_per_range: int = 1000, most: int = 64) -> Column:
+    """The number of the range of ``key`` that a row falls into, from 0 on; null for a null key.
+
+    Ranges hold about ``rows_per_range`` rows of ``keys``, more where that would need more than ``most`` of
+    them: a table written by range keeps a bounded number of folders, however many keys it has.
+    """
+    wanted = min(most, max(1, keys.count() // rows_per_range))
+    points = keys.approxQuantile(key, [i / wanted for i in range(1, wanted)], 0.1 / wanted) if wanted > 1 else []
+    ahead = [(F.col(key) >= F.lit(int(p))).cast("bigint") for p in sorted(set(points))]
+    return F.when(F.col(key).isNotNull(), sum(ahead, F.lit(0).cast("bigint")))
+
+
 def append_numbers(existing: DataFrame, new: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """Number ``new`` after the highest ``name`` of ``existing``."""
     highest = existing.agg(F.coalesce(F.max(name), F.lit(0)).alias("m")).first()["m"]

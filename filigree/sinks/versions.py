@@ -54,7 +54,9 @@ class VersionedTable:
         spark = df.sparkSession
         taken = self.versions(spark, published=False)
         version = (taken[-1] if taken else 0) + 1
-        writer = df.write.mode("errorifexists").option("compression", self.codec)
+        # By partition, so that each is written by the tasks that hold it and not by all of them.
+        rows = df.hint("rebalance", self.by) if self.by else df
+        writer = rows.write.mode("errorifexists").option("compression", self.codec)
         (writer.partitionBy(self.by) if self.by else writer).parquet(self.folder(version))
         if self.by:
             fs, _, path = self._fs(spark)
