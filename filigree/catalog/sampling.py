@@ -77,8 +77,14 @@ def company_keys(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_mktsegment") != "FURNITURE").select(F.col("c_custkey").alias("cik_int"))
 
 
-def unique_sentences(t: Tables) -> DataFrame:
-    return first_by_key(t.sentences, ["sentenceID"], ["reportDate", "sentence", "name"])
+def unique_sentences(t: Tables, *columns: str) -> DataFrame:
+    """One row per sentence id, with ``columns`` or all."""
+    rows = t.sentences.select(*columns) if columns else t.sentences
+    return first_by_key(rows, ["sentenceID"], ["reportDate", "sentence", "name"])
+
+
+# What the sample and its checks read of a sentence.
+SAMPLED = ("cik", "cik_int", "name", "docID", "sentenceID", "section", "sentence", "reportDate", "report_year")
 
 
 def tagged(t: Tables) -> DataFrame:
@@ -199,7 +205,7 @@ def joined_sql(body: str) -> str:
 
 def joined_sample(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Allocation, ids and the joined-back sample."""
-    corpus = cut_lineage(unique_sentences(t))
+    corpus = cut_lineage(unique_sentences(t, *SAMPLED))
     plan, ids = sample_ids(t, corpus)
     ids = cut_lineage(ids)
     return plan, ids, s.join_back(ids, corpus, dim_sections(t.spark), "v1", "fixture")

@@ -4,26 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
 
-def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], chooser) -> DataFrame:
+def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], largest: bool) -> DataFrame:
     # An aggregate keeps one row per key and task before the shuffle, so a key with
     # very many copies never meets in one task; a ranking window would collect it.
-    rest = [c for c in df.columns if c not in key]
-    picked = chooser(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*key).agg(picked).select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    # The order stands first in the struct that is compared, so each column travels once;
+    # rows tied on the whole order are told apart by their other columns.
+    kept = [c for c in df.columns if c not in key]
+    places = {c: f"_v{i}" for i, c in enumerate(dict.fromkeys([*order, *kept]))}
+    values = []
+    for c, place in places.items():
+        if c in order and not largest:
+            values.append(F.col(c).isNull().alias(f"_n{place}"))
+        values.append(F.col(c).alias(place))
+    picked = (F.max if largest else F.min)(F.struct(*values)).alias("_row")
+    if not all(_orderable(df.schema[c].dataType) for c in kept):
+        ahead = [v for c in order for v in ([F.col(c)] if largest else [F.col(c).isNull(), F.col(c)])]
+        picked = (F.max_by if largest else F.min_by)(F.struct(*values), F.struct(*ahead)).alias("_row")
+    return df.groupBy(*key).agg(picked).select(*[F.col(c) if c in key else F.col(f"_row.{places[c]}").alias(c) for c in df.columns])
+
+
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType, CalendarIntervalType))
 
 
 def first_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key the row that is smallest in ``order``; nulls come last."""
-    return _pick(df, key, [x for c in order for x in (F.col(c).isNull(), F.col(c))], F.min_by)
+    return _pick(df, key, order, largest=False)
 
 
 def last_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key the row that is largest in ``order``; nulls come last."""
-    return _pick(df, key, order, F.max_by)
+    return _pick(df, key, order, largest=True)
 
 
 def dedupe_last(inputs: Sequence[DataFrame], key: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
