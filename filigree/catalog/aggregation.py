@@ -40,7 +40,7 @@ def _(t):
   count(DISTINCT report_year) AS n_report_year FROM sentences GROUP BY section"""),
 )
 def _(t):
-    return a.count_distinct_grain(t.sentences, ["section"], ["cik", "docID", "report_year"])
+    return a.count_distinct_grain(t.sentences, ["section"], ["cik", "docID", "report_year"], place=["cik"])
 
 
 @catalog.query(
@@ -137,7 +137,7 @@ def _(t):
 FROM sentences GROUP BY cik HAVING count(DISTINCT report_year) >= 6 AND count(DISTINCT section) >= 12 AND count(*) >= 30"""),
 )
 def _(t):
-    per_company = a.count_distinct_grain(t.sentences, ["cik"], ["report_year", "section"], "total_sentences")
+    per_company = a.count_distinct_grain(t.sentences, ["cik"], ["report_year", "section"], "total_sentences", place=["cik"])
     return per_company.select(
         "cik", F.col("n_report_year").alias("filing_years"), F.col("n_section").alias("section_coverage"), "total_sentences"
     ).filter("filing_years >= 6 AND section_coverage >= 12 AND total_sentences >= 30")

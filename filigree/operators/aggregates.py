@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filigree.functions.numbers import percent, round_half_away
+from filigree.session import cut_lineage
 
 
 def quantiles(value: str, points: dict[str, float], digits: int = 6) -> list[Column]:
@@ -26,11 +28,24 @@ def value_at_max(value: str, by: str) -> Column:
     return F.max_by(F.col(value), F.struct(F.col(by), F.col(value)))
 
 
-def count_distinct_grain(df: DataFrame, group: Sequence[str], keys: Sequence[str], rows: str = "n_rows") -> DataFrame:
-    """Row count and distinct counts of ``keys`` per group, from a frame first collapsed to its grain."""
+def dealt_out(df: DataFrame, *keys: str, rows_per_task: int = 500_000) -> DataFrame:
+    """``df`` written once and dealt out by ``keys``, about ``rows_per_task`` rows to a task.
+
+    For aggregates with several distinct counts, which hold each row once for each of them: the number of
+    tasks follows the counted rows, so the memory of one task does not grow with the table.
+    """
+    saved = cut_lineage(df)
+    return saved.repartition(max(1, math.ceil(saved.count() / rows_per_task)), *keys)
+
+
+def count_distinct_grain(df: DataFrame, group: Sequence[str], keys: Sequence[str], rows: str = "n_rows", place: Sequence[str] = ()) -> DataFrame:
+    """Row count and distinct counts of ``keys`` per group, from a frame first collapsed to its grain.
+
+    The grain is dealt out to tasks by ``place``, by default by all its columns.
+    """
     grain_columns = [*group, *[k for k in keys if k not in group]]
     grain = df.groupBy(*grain_columns).agg(F.count(F.lit(1)).alias("_n"))
-    return grain.groupBy(*group).agg(
+    return dealt_out(grain, *(place or grain_columns)).groupBy(*group).agg(
         F.sum("_n").alias(rows), *[F.countDistinct(k).alias(f"n_{k}") for k in keys]
     )
 

@@ -11,7 +11,7 @@ from filigree.functions.bins import label_by_threshold
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.ordering import top_k
 from filigree.functions.text import NAME_SUFFIXES_SHORT, normalise_key, normalise_name, padded_key
-from filigree.operators.aggregates import quantiles
+from filigree.operators.aggregates import dealt_out, quantiles
 from filigree.operators.joins import by_shuffle, list_contains_join
 from filigree.operators.keyed import first_by_key, last_by_key
 from filigree.operators.numbering import global_row_number
@@ -78,9 +78,9 @@ def score_companies(
     """Companies that pass the five gates, with their quality score."""
     grain = df.groupBy("cik", "name", "report_year", "section").agg(F.count(F.lit(1)).alias("n"))
     recent, priority = F.col("report_year") >= recent_year, F.col("section").isin(*PRIORITY_SECTIONS)
-    facts = grain.groupBy("cik", "name").agg(
-        F.countDistinct("report_year").alias("filing_years"),
-        F.countDistinct("section").alias("section_coverage"),
+    facts = dealt_out(grain, "cik", "name").groupBy("cik", "name").agg(
+        F.size(F.collect_set("report_year")).cast("bigint").alias("filing_years"),  # a few values each
+        F.size(F.collect_set("section")).cast("bigint").alias("section_coverage"),
         F.sum("n").alias("total_sentences"),
         F.coalesce(F.sum(F.when(recent, F.col("n"))), F.lit(0)).alias("recent_sentences"),
         F.coalesce(F.sum(F.when(priority, F.col("n"))), F.lit(0)).alias("priority_section_sentences"),
