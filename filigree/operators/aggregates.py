@@ -38,14 +38,38 @@ def dealt_out(df: DataFrame, *keys: str, rows_per_task: int = 500_000) -> DataFr
     return saved.repartition(max(1, math.ceil(saved.count() / rows_per_task)), *keys)
 
 
+def grain_counts(df: DataFrame, grain: Sequence[str], rows: str = "n") -> DataFrame:
+    """One row per value of ``grain`` with its number of rows; a task holds the values of about as many rows at any size."""
+    return dealt_out(df.select(*grain), *grain).groupBy(*grain).agg(F.count(F.lit(1)).alias(rows))
+
+
+def distinct_by_group(grain: DataFrame, group: str, keys: dict[str, str], rows: str, rows_per_task: int = 500_000) -> DataFrame:
+    """Per ``group`` the sum of ``rows`` and the distinct values of each of ``keys``, under its new name.
+
+    For keys of very many values. Each is dealt out on its own, by counted rows; several distinct counts
+    in one aggregate would copy every row once for each of them, and merge tasks by their bytes.
+    """
+    saved = cut_lineage(grain)
+    tasks = max(1, math.ceil(saved.count() / rows_per_task))
+    names = [*keys.values(), rows]
+
+    def part(df: DataFrame, own: str, value: Column) -> DataFrame:
+        return df.select(group, *[(value if c == own else F.lit(0)).cast("bigint").alias(c) for c in names])
+
+    found = [part(saved, rows, F.col(rows))]
+    for key, name in keys.items():
+        each = saved.select(group, key).where(F.col(key).isNotNull()).repartition(tasks, group, key).distinct()
+        found.append(part(each, name, F.lit(1)))
+    return reduce(DataFrame.unionByName, found).groupBy(group).agg(*[F.sum(c).alias(c) for c in names])
+
+
 def count_distinct_grain(df: DataFrame, group: Sequence[str], keys: Sequence[str], rows: str = "n_rows", place: Sequence[str] = ()) -> DataFrame:
     """Row count and distinct counts of ``keys`` per group, from a frame first collapsed to its grain.
 
     The grain is dealt out to tasks by ``place``, by default by all its columns.
     """
     grain_columns = [*group, *[k for k in keys if k not in group]]
-    grain = df.groupBy(*grain_columns).agg(F.count(F.lit(1)).alias("_n"))
-    return dealt_out(grain, *(place or grain_columns)).groupBy(*group).agg(
+    return dealt_out(grain_counts(df, grain_columns, "_n"), *(place or grain_columns)).groupBy(*group).agg(
         F.sum("_n").alias(rows), *[F.countDistinct(k).alias(f"n_{k}") for k in keys]
     )
 

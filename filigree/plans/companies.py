@@ -11,7 +11,7 @@ from filigree.functions.bins import label_by_threshold
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.ordering import top_k
 from filigree.functions.text import NAME_SUFFIXES_SHORT, normalise_key, normalise_name, padded_key
-from filigree.operators.aggregates import dealt_out, quantiles
+from filigree.operators.aggregates import dealt_out, grain_counts, quantiles
 from filigree.operators.joins import by_shuffle, list_contains_join
 from filigree.operators.keyed import first_by_key, last_by_key
 from filigree.operators.numbering import global_row_number
@@ -76,7 +76,7 @@ def score_companies(
     min_priority: int = 3000,
 ) -> DataFrame:
     """Companies that pass the five gates, with their quality score."""
-    grain = df.groupBy("cik", "name", "report_year", "section").agg(F.count(F.lit(1)).alias("n"))
+    grain = grain_counts(df, ["cik", "name", "report_year", "section"])
     recent, priority = F.col("report_year") >= recent_year, F.col("section").isin(*PRIORITY_SECTIONS)
     facts = dealt_out(grain, "cik", "name").groupBy("cik", "name").agg(
         F.size(F.collect_set("report_year")).cast("bigint").alias("filing_years"),  # a few values each

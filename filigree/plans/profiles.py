@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from filigree.functions.bins import FIVE_BINS, THREE_BINS, Bin, temporal_bin, year_span
 from filigree.functions.numbers import percent, ratio, round_half_away
 from filigree.functions.text import split_count
-from filigree.operators.aggregates import dealt_out, distinct_counts, quantiles
+from filigree.operators.aggregates import dealt_out, distinct_by_group, distinct_counts, grain_counts, quantiles
 from filigree.operators.joins import semi
 from filigree.plans.sampling import quality_predicate
 
@@ -117,7 +117,7 @@ def yearly_growth(df: DataFrame) -> DataFrame:
 
 def grain_report(df: DataFrame) -> DataFrame:
     """One row: companies, filings, filing sections, years, sentences and their ratios."""
-    facts = dealt_out(grain_table(df).select(*GRAIN, "n"), "cik").agg(
+    facts = dealt_out(grain_counts(df, GRAIN), "cik").agg(
         F.countDistinct("cik").alias("n_companies"),
         F.countDistinct("docID").alias("n_filings"),
         F.countDistinct("cik", "report_year", "section").alias("n_filing_sections"),
@@ -141,11 +141,8 @@ def filing_sizes(df: DataFrame) -> DataFrame:
 
 def section_overview(df: DataFrame) -> DataFrame:
     """Per section: companies, filings, sentences, share and sentences per filing."""
-    facts = dealt_out(grain_table(df).select(*GRAIN, "n"), "cik").groupBy("section").agg(
-        F.countDistinct("cik").alias("companies_with_section"),
-        F.countDistinct("docID").alias("filings_with_section"),
-        F.sum("n").alias("n_sentences"),
-    )
+    counted = {"cik": "companies_with_section", "docID": "filings_with_section"}
+    facts = distinct_by_group(grain_counts(df, GRAIN, "n_sentences"), "section", counted, "n_sentences")
     return facts.withColumns(
         {
             "pct_of_corpus": _share("n_sentences"),
