@@ -118,6 +118,37 @@ def test_ngrams_equal_brute_force(spark):
     assert labels["guess_label"] == "Business / Overview" and labels["support_terms"] == "business"
 
 
+def many_texts(n):
+    g = random.Random(4)
+    words = [f"w{i}" for i in range(60)] + ["Größe", "US$", "5%", "a.b"]
+    texts = [" ".join(words[min(int(g.expovariate(0.06)), 63)] for _ in range(g.randint(0, 30))) for _ in range(n)]
+    return texts + texts[:9] + ["", "É", texts[3]]
+
+
+def test_ngrams_are_not_joined_row_by_row(spark):
+    """The n-grams of the documents go by hash and packed; no row an n-gram and document is made or shuffled."""
+    df = spark.createDataFrame([(1, t) for t in many_texts(80)], "g int, t string")
+    plan = top_ngrams(df, "g", "t", k=5)._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "array_join" not in plan
+
+
+@pytest.mark.parametrize(("pairs", "at_once"), [(1 << 22, 1 << 14), (50, 1)])
+def test_ngrams_by_tasks_and_rounds(spark, pairs, at_once):
+    """The same for many small tasks and for candidates in many rounds; null groups are left out."""
+    texts = {"a": many_texts(150), "b": many_texts(30)[::-1], None: ["w1 w1"] * 9}
+    df = spark.createDataFrame([(g, t) for g, ts in texts.items() for t in [*ts, None]], "g string, t string").repartition(3)
+    got = top_ngrams(df, "g", "t", k=7, min_df=3, pairs_per_task=pairs, at_once=at_once).collect()
+    for g in "ab":
+        want = sorted(((-round(v, 10), x) for x, v in brute_tfidf(texts[g], 3, 0.6).items()))[:7]
+        assert [(r["rank"], r["ngram"]) for r in sorted(got, key=lambda r: r["rank"]) if r["g"] == g] == [(i, x) for i, (_, x) in enumerate(want, 1)]
+    assert {r["g"] for r in got} == {"a", "b"}
+
+
+def test_ngrams_of_nothing(spark):
+    for rows in ([], [(1, "a b")], [(1, "")], [(None, "a")]):
+        assert top_ngrams(spark.createDataFrame(rows, "g int, t string"), "g", "t").isEmpty()
+
+
 def test_text_columns_and_stats(spark):
     df = spark.createDataFrame([("a b", 1, "x"), (None, 2, "y"), ("", 3, None)], "body_text string, n int, other string")
     assert x.guess_text_columns(df) == ("body_text",)
