@@ -14,7 +14,8 @@ Texts of one fingerprint are compared with the group's pivot, its smallest diges
 fingerprints with each other. Only texts that are not linked to their pivot, or whose pivots are not
 linked, are compared with the others, and only with those whose length allows a link. A large group of
 near copies is thus compared once a text, not once a pair, and no link is lost: leaving out pairs that
-the pivot joins already cannot part a group. Text does not travel with the fingerprints; it is fetched
+the pivot joins already cannot part a group. Texts whose fingerprint meets no other, most of them, take no
+part in these steps. Text does not travel with the fingerprints; it is fetched
 again for the lines of candidate pairs only.
 """
 
@@ -112,11 +113,11 @@ def _close(fps: str) -> Column:
 def close_fingerprints(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """All pairs ``(a, b)``, ``a < b``, of distinct ``prints(fp)`` within two bits."""
     blocks = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
-    keys = [F.struct(F.lit(10 * i + j).alias("place"), F.shiftleft(blocks[i], 16).bitwiseOR(blocks[j]).alias("value")) for i in range(4) for j in range(i + 1, 4)]
-    keyed = prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.place", "key.value")
-    sizes = keyed.groupBy("place", "value").agg(F.count("*").alias("n")).where("n > 1")
-    members = keyed.join(sizes, ["place", "value"])
-    small = members.where(F.col("n") <= pair_limit).groupBy("place", "value").agg(F.collect_list("fp").alias("fps"))
+    keys = [F.shiftleft(blocks[i], 16).bitwiseOR(blocks[j]).bitwiseOR(F.lit((4 * i + j) << 32)) for i in range(4) for j in range(i + 1, 4)]
+    keyed = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = keyed.join(sizes, "key")
+    small = members.where(F.col("n") <= pair_limit).groupBy("key").agg(F.collect_list("fp").alias("fps"))
     hot = members.where(F.col("n") > pair_limit).select("fp").distinct()
     flips = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
     met = hot.select("fp", F.explode(flips).alias("middle")).groupBy("middle").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1")
@@ -159,9 +160,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.repartition(parts, "x", "y").where(similar("s", "t")).select("x", "y")
 
 
-def _links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links ``(x, y)`` that connect exactly the groups of ``nodes(digest, fp, size, first)``."""
-    pairs = stage(close_fingerprints(nodes.select("fp").distinct()))
+def _meeting(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs of close fingerprints, and the nodes that share their fingerprint or have a close one: no other has a link."""
+    prints = stage(nodes.groupBy("fp").agg(F.count("*").alias("n")))
+    pairs = stage(close_fingerprints(prints.select("fp")))
+    met = prints.where("n > 1").select("fp").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("fp"))).distinct()
+    return pairs, stage(nodes.join(met, "fp", "left_semi"))
+
+
+def _links(nodes: DataFrame, pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links ``(x, y)`` that connect exactly the groups of ``nodes(digest, fp, size, first)``, whose close fingerprints are ``pairs``."""
     pivots = stage(nodes.groupBy("fp").agg(F.min_by(F.struct("digest", "first"), "digest").alias("pivot"), F.count("*").alias("n")))
     many = nodes.join(pivots.where("n > 1"), "fp")
     spokes = many.where(F.col("digest") != F.col("pivot.digest")).select(F.col("pivot").alias("p"), F.struct("digest", "first").alias("q"))
@@ -199,12 +207,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     seen = stage(occurrences(docs, id_col, text_col))
     worded = seen.where("digest is not null")
     nodes = stage(worded.groupBy("digest", "fp", "size").agg(F.min(F.struct("doc", "line_no")).alias("first")))
-    near = stage(_links(nodes, docs, id_col, text_col))
+    pairs, meeting = _meeting(nodes)
+    near = stage(_links(meeting, pairs, docs, id_col, text_col))
     found = stage(connected_components(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
-    labelled = nodes.join(found, nodes.digest == found.node, "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
-    heads = labelled.groupBy("component").agg(F.min("first").alias("head"))
-    settled = labelled.join(heads, "component").select("digest", "head")
-    out = worded.join(settled, "digest").select("doc", "line_no", "digest", F.struct("doc", "line_no").eqNullSafe(F.col("head")).alias("kept"))
+    # The first line of a group is the first of its text, so a text either keeps its first line or none.
+    linked = stage(meeting.join(found, meeting.digest == found.node).select("digest", "first", "component"))
+    heads = linked.groupBy("component").agg(F.min("first").alias("head"))
+    lost = linked.join(heads, "component").where(~F.col("first").eqNullSafe(F.col("head"))).select("digest")
+    firsts = nodes.join(lost, "digest", "left_anti").select("digest", "first")
+    out = worded.join(firsts, "digest", "left").select("doc", "line_no", "digest", F.struct("doc", "line_no").eqNullSafe(F.col("first")).alias("kept"))
     return out.unionByName(seen.where("digest is null").select("doc", "line_no", "digest", F.lit(True).alias("kept")))
 
 

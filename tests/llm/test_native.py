@@ -228,3 +228,19 @@ def test_names_already_taken(frame, taken):
     docs = frame(rows).withColumns({c: F.lit("mine") for c in taken})
     for out in (line_dedup.drop_fuzzy_lines(docs), mixing.mixed(docs)):
         assert out.columns == docs.columns and all(r[c] == "mine" for r in out.collect() for c in taken)
+
+
+def test_lines_that_meet_no_other_take_no_part_in_linking(spark, monkeypatch):
+    """Only texts whose fingerprint is shared or has a close one go through the steps of linking."""
+    linked, real = [], line_dedup._links
+
+    def counted(nodes, *more):
+        linked.append(nodes.count())
+        return real(nodes, *more)
+
+    monkeypatch.setattr(line_dedup, "_links", counted)
+    lone = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(60)]
+    docs = spark.createDataFrame([(1, "\n".join(lone)), (2, "b a b a\na b a b a"), (3, lone[7])], "doc_id long, text string")
+    got = {r["doc_id"]: r["dropped"] for r in line_dedup.line_report(docs).collect()}
+    assert got[1] == [] and got[3] == [0]
+    assert linked == [2]
