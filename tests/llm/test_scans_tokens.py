@@ -167,3 +167,15 @@ def test_pipeline_stages(spark):
             assert [(r.doc_id, r.n_tokens, r.start) for r in sorted(after.collect(), key=lambda r: r.start)] == [(i, n, s) for (i, _), n, s in zip(order, counts, np.cumsum([0, *counts[:-1]]).tolist(), strict=True)]
         before = after
     assert corpus_pipeline.run(spark, FOLDER).count() == after.count()
+
+
+def test_symbols_that_end_a_stretch_are_encoded_once():
+    """A word is remembered once, whatever symbols follow it; the ids stay the library's."""
+    encoder = token_files.Encoder(vocabulary("word_bpe_49k.json"))
+    encoder.encode(pa.array(["mañana### mañana*** mañana. mañana &&& mañana&&&", None]))
+    assert set(encoder.place) == {"mañana", "###", "***", ".", "&&&"}
+    odd = ["a's## it'S.", "İ### ı### ŉ--", "x<|endoftext|> x<|endoftext|>### A<|", "é### e\u0301### K## 4### a\u0338=\u0338", "b=\u0338 #", "a\u000b### Straße!!\tÉ%%%", "AB<|CD|> d''## d>>", ""]
+    ids, sizes = encoder.encode(pa.array(odd))
+    stops = sizes.cumsum()
+    for text, stop, size in zip(odd, stops, sizes, strict=True):
+        assert ids[stop - size : stop].tolist() == [*encoder.library.encode(text, add_special_tokens=False).ids, token_files.END]
