@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 
 from filigree.llm.common import free_names, stage
 from filigree.llm.components import connected_components
+from filigree.operators.joins import broadcast_up_to
 
 MAX_BITS, SIMILARITY, PAIR_LIMIT = 2, 0.8, 32
 # Lanes by number of words: up to how many the top lane, which holds the sign, can count; bits of a lane.
-LANES = ((127, 8), (2047, 13), (2**31 - 1, 32))
+LANES = ((2047, 13), (2**31 - 1, 32))
+TOGETHER = 8  # words of a line that are added up before they are summed by line
+LISTED_BYTES = 32 << 20  # lists of ids or keys up to this size pick rows before these are shuffled
 
 
 def normal(line: Column) -> Column:
@@ -66,9 +69,9 @@ def _majority(width: int, counters: list[Column]) -> Column:
     return reduce(lambda x, y: x.bitwiseOR(y), [part(j) for j in range(width)])
 
 
-def _lane(j: int, width: int) -> Column:
-    """Bits ``j``, ``j + width``, ... of the hash ``h``, each in a lane of its own."""
-    return F.shiftrightunsigned("h", j).bitwiseAND(F.lit(sum(1 << b for b in range(0, 64, width))))
+def _lane(name: str, j: int, width: int) -> Column:
+    """Bits ``j``, ``j + width``, ... of the hash ``name``, each in a lane of its own."""
+    return F.shiftrightunsigned(name, j).bitwiseAND(F.lit(sum(1 << b for b in range(0, 64, width))))
 
 
 def _folded(width: int) -> Column:
@@ -84,13 +87,14 @@ def _folded(width: int) -> Column:
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc, line_no, digest, size, fp)``, ``size`` in characters; the last three null for lines without words.
 
-    Words of lines of up to ``LANES[0]`` words are listed as rows and summed by line; the sums of a line
-    are complete in the task that reads it, and one row a line is shuffled.
+    Words of lines of up to ``LANES[0]`` words are listed as rows of ``TOGETHER`` words and summed by line; the
+    sums of a line are complete in the task that reads it, and one row a line is shuffled. The digest is hex
+    there, since Spark's fast map of sums takes no binary keys.
     """
     named = lines(docs, id_col, text_col).select("doc", "line_no", normal(F.col("line")).alias("text"), F.monotonically_increasing_id().alias("at"))
     worded = F.length("text") > 0
     split = F.when(worded, F.array_distinct(F.split("text", " ")))
-    listed = named.select("at", "doc", "line_no", F.when(worded, F.unhex(F.md5("text"))).alias("digest"), F.length("text").alias("size"), split.alias("w"))
+    listed = named.select("at", "doc", "line_no", F.when(worded, F.md5("text")).alias("digest"), F.length("text").alias("size"), split.alias("w"))
     counted = listed.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
     (few, narrow), *wide = LANES
     hashes = counted.withColumn("hs", F.when(F.col("n") > few, F.transform("w", lambda x: F.xxhash64(x))))
@@ -98,10 +102,14 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     for most, width in wide:
         long, above = F.when(F.col("n").between(above + 1, most), _folded(width)).otherwise(long), most
     keys = ["at", "doc", "line_no", "digest", "size", "n", "long"]
-    rows = hashes.select(*keys[:-1], long.alias("long"), F.explode_outer(F.when(F.col("n") <= few, F.col("w"))).alias("word")).select(*keys, F.xxhash64("word").alias("h"))
-    summed = rows.groupBy(*keys).agg(*[F.sum(_lane(j, narrow)).alias(f"c{j}") for j in range(narrow)])
+    firsts = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(TOGETHER))
+    pieces = hashes.select(*keys[:-1], long.alias("long"), "w", F.explode_outer(F.when(F.col("n") <= few, firsts)).alias("from"))
+    hash_of = lambda at: F.when(at < F.col("n"), F.xxhash64(F.get("w", at))).otherwise(F.lit(0).cast("bigint"))
+    rows = pieces.select(*keys, *[hash_of(F.col("from") + k).alias(f"h{k}") for k in range(TOGETHER)])
+    lanes = [reduce(lambda x, y: x + y, [_lane(f"h{k}", j, narrow) for k in range(TOGETHER)]) for j in range(narrow)]
+    summed = rows.groupBy(*keys).agg(*[F.sum(lane).alias(f"c{j}") for j, lane in enumerate(lanes)])
     short = F.when(F.col("n").between(1, few), _majority(narrow, [F.col(f"c{j}") for j in range(narrow)]))
-    return summed.select("doc", "line_no", "digest", F.when(F.col("n") > 0, F.col("size")).alias("size"), F.coalesce("long", short).alias("fp"))
+    return summed.select("doc", "line_no", F.unhex("digest").alias("digest"), F.when(F.col("n") > 0, F.col("size")).alias("size"), F.coalesce("long", short).alias("fp"))
 
 
 def _close(fps: str) -> Column:
@@ -115,8 +123,8 @@ def close_fingerprints(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataF
     blocks = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
     keys = [F.shiftleft(blocks[i], 16).bitwiseOR(blocks[j]).bitwiseOR(F.lit((4 * i + j) << 32)) for i in range(4) for j in range(i + 1, 4)]
     keyed = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = keyed.join(sizes, "key")
+    sizes = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = keyed.join(broadcast_up_to(sizes, LISTED_BYTES), "key")  # few keys are shared
     small = members.where(F.col("n") <= pair_limit).groupBy("key").agg(F.collect_list("fp").alias("fps"))
     hot = members.where(F.col("n") > pair_limit).select("fp").distinct()
     flips = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
@@ -127,8 +135,10 @@ def close_fingerprints(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataF
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(digest, text)`` of the normalised lines at ``wanted(doc, line_no, digest)``."""
-    per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "digest")).alias("at"))
+    per_doc = stage(wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "digest")).alias("at")))
+    ids = broadcast_up_to(per_doc.select(F.col("doc").alias("_doc")), LISTED_BYTES)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    own = own.join(ids, F.col("_id").eqNullSafe(F.col("_doc")), "left_semi")  # texts without such a line are not shuffled
     found = own.join(per_doc, own["_id"].eqNullSafe(per_doc["doc"])).select(F.split(F.coalesce("_text", F.lit("")), "\n", -1).alias("cut"), F.explode("at").alias("at"))
     picked = found.select(F.col("at.digest").alias("digest"), normal(F.get("cut", F.col("at.line_no"))).alias("text"))
     return picked.where(F.unhex(F.md5("text")) == F.col("digest")).dropDuplicates(["digest"])
@@ -138,7 +148,8 @@ def similar(s: str, t: str) -> Column:
     """True if the normalised texts ``s`` and ``t`` have an edit similarity of ``SIMILARITY`` or more.
 
     Words that both begin or end with do not count for the distance, so that only what lies between
-    is compared; if that is no longer than the edits allowed, nothing is left to find out.
+    is compared; if that is no longer than the edits allowed, nothing is left to find out. Texts of as many
+    words are similar also if the words that differ place by place are no longer together than the edits allowed.
     """
     allowed = f"cast(floor(greatest(length({s}), length({t})) * {1 - SIMILARITY} + 1e-9) as int)"
     bound = lambda value, name, body: f"get(transform(array({value}), {name} -> {body}), 0)"
@@ -149,7 +160,9 @@ def similar(s: str, t: str) -> Column:
     left = lambda a: joined(f"reverse({rest(a, 'q')})")
     middle = bound(f"struct({left('r.x')} as x, {left('r.y')} as y)", "m", inner)
     ends = bound(f"struct(reverse({rest('w.x', 'p')}) as x, reverse({rest('w.y', 'p')}) as y)", "r", bound(agreeing("r.x", "r.y"), "q", middle))
-    whole = bound(f"struct(split({s}, ' ') as x, split({t}, ' ') as y)", "w", bound(agreeing("w.x", "w.y"), "p", ends))
+    replaced = "aggregate(zip_with(w.x, w.y, (x, y) -> if(x = y, 0, greatest(length(x), length(y)))), 0, (total, n) -> total + n)"
+    words = f"(size(w.x) = size(w.y) and {replaced} <= {allowed}) or {bound(agreeing('w.x', 'w.y'), 'p', ends)}"
+    whole = bound(f"struct(split({s}, ' ') as x, split({t}, ' ') as y)", "w", words)
     return F.expr(f"abs(length({s}) - length({t})) <= {allowed} and {whole}")
 
 

@@ -244,3 +244,21 @@ def test_lines_that_meet_no_other_take_no_part_in_linking(spark, monkeypatch):
     got = {r["doc_id"]: r["dropped"] for r in line_dedup.line_report(docs).collect()}
     assert got[1] == [] and got[3] == [0]
     assert linked == [2]
+
+
+def test_texts_without_wanted_lines_stay_where_they_are(spark, frame, capsys):
+    """Only documents that hold a wanted line reach the shuffle of the fetch, whatever the planner broadcasts."""
+    docs = frame([(k, f"line {k}\nother {k}") for k in range(50)] + [(None, "no id\nnone")])
+    seen = line_dedup.occurrences(docs).where("doc % 10 = 0 and line_no = 0 or doc is null")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = line_dedup._texts(docs, seen.select("doc", "line_no", "digest"), "doc_id", "text")
+        found.explain()
+        plan = capsys.readouterr().out
+        got = {r.text for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {f"line {k}" for k in range(0, 50, 10)} | {"no id", "none"}
+    semi = next(k for k, x in enumerate(plan.splitlines()) if "BroadcastHashJoin" in x and "LeftSemi" in x)
+    assert any("Exchange" in x for x in plan.splitlines()[:semi])
