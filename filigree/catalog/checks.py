@@ -90,7 +90,7 @@ def validation_sql() -> str:
 
 @catalog.query("p25_sample_validation", validation_sql())
 def _(t):
-    plan, _, sample = joined_sample(t)
+    plan, _, sample, _ = joined_sample(t)
     numbered = s.number_sample(sample)
     flagged = cut_lineage(add_flags(numbered, recent_year=2000))  # read by two of the checks
     return k.validate_sample(flagged, plan, expected_companies=1000)
@@ -136,7 +136,7 @@ WHERE = {
 def subset_tables(t):
     method = F.when(F.col("report_year") >= 2000, "incremental_inject").otherwise("stratified_sampling")
     fact = t.sentences.withColumns({"temporal_bin": temporal_bin(F.col("report_year"), THREE), "load_method": method})
-    return run_subsets(cut_lineage(fact), {"chosen": company_keys(t)}, SUBSETS, fresh_path(t.spark, "subsets"), THREE)
+    return run_subsets(fact, {"chosen": company_keys(t)}, SUBSETS, fresh_path(t.spark, "subsets"), THREE)
 
 
 @catalog.query(

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from filigree.catalog.registry import Catalog
 from filigree.functions.numbers import percent
 from filigree.operators.joins import anti
-from filigree.operators.keyed import first_by_key
+from filigree.operators.keyed import first_of_repeated
 from filigree.plans import sampling as s
 from filigree.plans.sections import dim_sections
 from filigree.plans.subsets import read_share, write_shares
-from filigree.session import cut_lineage, fresh_path
+from filigree.session import cut_lineage, drop_stage, fresh_path
 from filigree.sources.fixture_sql import SENTENCES, bin_case, with_views
 from filigree.sources.fixtures import THREE, Tables
 
@@ -80,7 +80,7 @@ def company_keys(t: Tables) -> DataFrame:
 def unique_sentences(t: Tables, *columns: str) -> DataFrame:
     """One row per sentence id, with ``columns`` or all."""
     rows = t.sentences.select(*columns) if columns else t.sentences
-    return first_by_key(rows, ["sentenceID"], ["reportDate", "sentence", "name"])
+    return first_of_repeated(rows, ["sentenceID"], ["reportDate", "sentence", "name"])
 
 
 # What the sample and its checks read of a sentence.
@@ -95,9 +95,9 @@ def allocation(rows: DataFrame) -> DataFrame:
     return s.allocate(s.bin_populations(rows), BUDGET, THREE)
 
 
-def sample_ids(t: Tables, corpus: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def sample_ids(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Allocation and sampled ids; the tagged corpus and allocation are written once and reused."""
-    rows = cut_lineage(tagged(t) if corpus is None else s.tag_corpus(corpus, company_keys(t), THREE))
+    rows = cut_lineage(tagged(t))
     plan = cut_lineage(allocation(rows))
     return plan, s.stratified_sample(rows, plan, seed=SEED)
 
@@ -203,12 +203,14 @@ def joined_sql(body: str) -> str:
     return with_views("\n" + body, *views, section_values(), JOINED)
 
 
-def joined_sample(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Allocation, ids and the joined-back sample."""
+def joined_sample(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Allocation, ids, the joined-back sample and the corpus it was joined to."""
     corpus = cut_lineage(unique_sentences(t, *SAMPLED))
-    plan, ids = sample_ids(t, corpus)
-    ids = cut_lineage(ids)
-    return plan, ids, s.join_back(ids, corpus, dim_sections(t.spark), "v1", "fixture")
+    rows = cut_lineage(s.tag_corpus(corpus, company_keys(t), THREE))
+    plan = cut_lineage(allocation(rows))
+    ids = cut_lineage(s.stratified_sample(rows, plan, seed=SEED))
+    drop_stage(rows)
+    return plan, ids, s.join_back(ids, corpus, dim_sections(t.spark), "v1", "fixture"), corpus
 
 
 @catalog.query("p4_join_back", joined_sql(f"SELECT {', '.join(P4_COLUMNS)} FROM joined"))
@@ -222,7 +224,12 @@ def _(t):
        sentenceID FROM joined"""),
 )
 def _(t):
-    return s.number_sample(joined_sample(t)[2]).select("sample_id", "sentenceID")
+    _, ids, sample, corpus = joined_sample(t)
+    joined = cut_lineage(sample)
+    drop_stage(corpus, ids)
+    numbered = s.number_sample(joined)
+    drop_stage(joined)
+    return numbered.select("sample_id", "sentenceID")
 
 
 @catalog.query(
@@ -233,7 +240,7 @@ def _(t):
        (SELECT count(*) FROM sample_ids) - count(*) AS lost_rows, 'complete' AS join_quality FROM joined"""),
 )
 def _(t):
-    _, ids, sample = joined_sample(t)
+    _, ids, sample, _ = joined_sample(t)
     return s.check_joinback(ids, sample)
 
 

@@ -8,6 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filigree.session import cut_lineage
+
+_WHOLE = ("byte", "short", "integer", "long")
+
 
 def broadcast_up_to(df: DataFrame, max_bytes: int) -> DataFrame:
     """Mark ``df`` for broadcast only when its values take at most ``max_bytes``.
@@ -20,6 +24,55 @@ def broadcast_up_to(df: DataFrame, max_bytes: int) -> DataFrame:
     return F.broadcast(df) if total <= max_bytes else df
 
 
+def _bitmaps(places: DataFrame, where: str) -> DataFrame:
+    """``(_bucket, _bits)``: the whole numbers from 1 on in ``where`` as bitmaps of 32,768, without nulls."""
+    bucket = F.bitmap_bucket_number(where).alias("_bucket")
+    dealt = places.where(F.col(where).isNotNull()).select(bucket, F.bitmap_bit_position(where).alias("_bit")).repartition("_bucket")
+    return cut_lineage(dealt.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+
+
+def _marked(df: DataFrame, bitmaps: DataFrame, place: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: whether the bitmaps, which are broadcast, hold ``place``; false for a null."""
+    placed = df.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    met = placed.join(F.broadcast(bitmaps), "_bucket", "left")
+    at = F.bitmap_bit_position("_place").cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, at % 8).bitwiseAND(1) == 1
+    return met.withColumn(name, F.coalesce(hit, F.lit(False))).drop("_place", "_bucket", "_bits")
+
+
+def split_by_keys(
+    df: DataFrame, keys: DataFrame, on: str, max_broadcast_bytes: int = 32 << 20, few: int = 1_000_000
+) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` as rows whose key may occur in ``keys``, and rows whose key does not, so that a join moves the first only.
+
+    The hashes of the keys are broadcast as bitmaps of eight bits a key, fewer where that exceeds
+    ``max_broadcast_bytes``. With up to ``few`` keys, or with too many to tell rows apart, all rows may occur.
+    """
+    many = keys.count()
+    bits = min(8 * many, 8 * max_broadcast_bytes)
+    if many <= few or bits < 2 * many:
+        return df, None
+    place = F.pmod(F.xxhash64(on), F.lit(bits)) + 1
+    tagged = _marked(df, _bitmaps(keys.select(place.alias("_at")), "_at"), place, "_may")
+    return tagged.where("_may").select(*df.columns), tagged.where("not _may").select(*df.columns)
+
+
+def tagged_by_keys(df: DataFrame, keys: DataFrame, on: str, name: str, max_broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` with ``name``: whether its key occurs in ``keys``.
+
+    Whole numbers that lie close enough together are broadcast as a bitmap, which is exact; other keys are joined.
+    """
+    if df.schema[on].dataType.typeName() in _WHOLE and keys.schema[on].dataType.typeName() in _WHOLE:
+        low, high = keys.agg(F.min(F.col(on).cast("bigint")), F.max(F.col(on).cast("bigint"))).first()
+        if low is not None and high - low < 8 * max_broadcast_bytes:
+            own = F.col(on).cast("bigint")
+            place = F.when(own.between(low, high), own - F.lit(low) + 1)
+            return _marked(df, _bitmaps(keys.select(place.alias("_at")), "_at"), place, name)
+    known = keys.select(on).where(F.col(on).isNotNull()).distinct().withColumn(name, F.lit(True))
+    return df.join(known, on, "left").select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
+
+
 def by_shuffle(df: DataFrame) -> DataFrame:
     """``df`` as a side of a join that is shuffled, whatever the planner takes its size to be.
 

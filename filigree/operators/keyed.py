@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
+from filigree.operators.joins import split_by_keys
+from filigree.session import cut_lineage
+
 
 def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], largest: bool) -> DataFrame:
     # An aggregate keeps one row per key and task before the shuffle, so a key with
@@ -41,6 +44,26 @@ def first_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     return _pick(df, key, order, largest=False)
 
 
+def first_of_repeated(df: DataFrame, key: Sequence[str], order: Sequence[str], max_broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """``first_by_key`` of a wide table in which few keys repeat: rows whose key occurs once are not shuffled.
+
+    Hashes of the keys are counted first; only rows of a hash that occurs more than once meet. Where
+    these hashes are too many to broadcast, all rows do. ``df`` is computed several times.
+    """
+    place = F.xxhash64(*key)
+    counted = df.select(place.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = cut_lineage(counted.where("_n > 1").select("_hash"))
+    many = repeated.count()
+    if many * 16 > max_broadcast_bytes:
+        return first_by_key(df, key, order)
+    if not many:
+        return df
+    hashed = df.withColumn("_hash", place)
+    once = hashed.join(F.broadcast(repeated), "_hash", "left_anti").select(*df.columns)
+    again = hashed.join(F.broadcast(repeated), "_hash", "left_semi").select(*df.columns)
+    return once.unionByName(first_by_key(again, key, order))
+
+
 def last_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key the row that is largest in ``order``; nulls come last."""
     return _pick(df, key, order, largest=True)
@@ -55,9 +78,14 @@ def dedupe_last(inputs: Sequence[DataFrame], key: Sequence[str], tie_break: Sequ
     return last_by_key(merged, key, ["_source", *tie_break]).drop("_source")
 
 
-def upsert(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not staged, then all staged rows."""
-    return target.join(staged.select(key), key, "left_anti").select(*target.columns).unionByName(staged)
+def upsert(target: DataFrame, staged: DataFrame, key: str, max_broadcast_bytes: int = 32 << 20, few: int = 1_000_000) -> DataFrame:
+    """Target rows whose key is not staged, then all staged rows.
+
+    With more than ``few`` staged rows, target rows whose key cannot be staged are not shuffled (see ``split_by_keys``).
+    """
+    may, cannot = split_by_keys(target, staged, key, max_broadcast_bytes, few)
+    kept = may.join(staged.select(key), key, "left_anti").select(*target.columns)
+    return (kept if cannot is None else cannot.unionByName(kept)).unionByName(staged)
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from filigree.functions.bins import THREE_BINS, Bin, iso_in_years, label_by_thre
 from filigree.functions.numbers import percent, round_half_away
 from filigree.functions.ordering import replay_hash, unit_interval
 from filigree.functions.text import blank_count, char_count, row_hash
-from filigree.operators.joins import broadcast_up_to, null_safe_join, semi
+from filigree.operators.joins import broadcast_up_to, null_safe_join, semi, split_by_keys
 from filigree.operators.numbering import global_row_number
 from filigree.operators.windows import top_per_group
 from filigree.session import cut_lineage
@@ -231,7 +231,7 @@ def join_back(
     distinct ids are written once, for the check and for the join.
     """
     wanted = cut_lineage(ids.select(key, "temporal_bin", "sampling_rate_pct").distinct())
-    rows = corpus.join(broadcast_up_to(wanted, max_broadcast_bytes), key)
+    rows = split_by_keys(corpus, wanted, key, max_broadcast_bytes)[0].join(broadcast_up_to(wanted, max_broadcast_bytes), key)
     dim = sections.select(
         F.col("hf_section_code").alias("_code"),
         F.col("sec_item_canonical").alias("section_name"),
