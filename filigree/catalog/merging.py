@@ -228,13 +228,14 @@ def target_and_staged(t):
     from filigree.functions.text import char_count, row_hash
     from filigree.operators.numbering import global_row_number
     from filigree.plans.sections import map_sections
-    from filigree.session import cut_lineage
+    from filigree.session import cut_lineage, drop_stage
 
     rows = cut_lineage(unique_sentences(t))
     dim = dim_sections(t.spark)
-    old = map_sections(rows.filter(F.col("report_year") <= 1999), dim.withColumnRenamed("section_name", "section_desc"))
+    kept = ("cik", "sentence", "section", "filingDate", "name", "docID", "sentenceID", "tickers", "sic", "report_year")
+    old = rows.filter(F.col("report_year") <= 1999).select(*kept)
     numbered = global_row_number(old, ["report_year", "sentenceID"], "sample_id")
-    target = numbered.select(
+    target = map_sections(numbered, dim.withColumnRenamed("section_name", "section_desc")).select(
         "sample_id", "cik", "sentence", F.col("section").alias("section_ID"), F.col("sec_item_canonical").alias("section_name"),
         "section_desc", "section_category", F.col("priority").alias("sec_dim_priority"), "filingDate", "name", "docID",
         "sentenceID", "tickers", F.lit("NY").alias("stateOfIncorporation"), "sic", "report_year",
@@ -247,7 +248,9 @@ def target_and_staged(t):
     )
     known = m.name_matches(F.col("name"), ["77"])
     filled = m.company_placeholders(known, ["T77", "T77.A"], ["NASDAQ"], "DE")
-    return target, m.stage_increment(incoming, dim, target, filled, "increment")
+    staged = m.stage_increment(incoming, dim, target, filled, "increment")
+    drop_stage(rows)
+    return target, staged
 
 
 def staged_columns(df):

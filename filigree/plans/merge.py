@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
@@ -110,8 +110,12 @@ def stage_increment(
         "section_category", F.col("priority").alias("sec_dim_priority"),
     )
     item = "section_item" if "section_item" in src.columns else "section_name"
-    found = src.join(F.broadcast(sections), normalise_key(F.col(item)) == F.col("_item"), "left").drop("_item")
-    filled = rename_incoming(found).withColumns(
+    every = Window.orderBy(*sections.columns)  # some twenty rows
+    sections = sections.withColumn("_no", F.row_number().over(every))
+    found = src.drop("sample_id").join(F.broadcast(sections.select("_item", "_no")), normalise_key(F.col(item)) == F.col("_item"), "left").drop("_item")
+    # Numbered before it is filled, so that what can be computed from a row is not moved with it.
+    numbered = append_numbers(target, rename_incoming(found), "sample_id", ["report_year", "sentenceID"])
+    filled = numbered.join(F.broadcast(sections.drop("_item")), "_no", "left").drop("_no").withColumns(
         {
             **placeholders,
             "sec_dim_priority": F.coalesce("sec_dim_priority", F.lit("P3")),
@@ -125,8 +129,7 @@ def stage_increment(
             "source_file_path": F.lit(source),
         }
     )
-    numbered = append_numbers(target, filled.drop("sample_id"), "sample_id", ["report_year", "sentenceID"])
-    return align_to(numbered, target.schema)
+    return align_to(filled, target.schema)
 
 
 def inject(target: DataFrame, staged: DataFrame, key: str = "sentenceID") -> DataFrame:
