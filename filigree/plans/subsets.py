@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.functions.bins import Bin
-from filigree.operators.joins import semi
+from filigree.operators.joins import tagged_by_keys
+from filigree.session import cut_lineage, drop_stage
 from filigree.sinks.writers import write_parquet
 
 
@@ -37,18 +40,37 @@ def temporal_condition(wanted: str | tuple[int, int], bins: Sequence[Bin]) -> Co
 
 
 def run_subsets(
-    fact: DataFrame, companies: dict[str, DataFrame], subsets: Sequence[Subset], folder: str, bins: Sequence[Bin]
-) -> dict[str, DataFrame]:
-    """Write every enabled subset, clustered by company and year, and return the written tables."""
+    fact: DataFrame, companies: dict[str, DataFrame], subsets: Sequence[Subset], folder: str, bins: Sequence[Bin],
+    rows_at_once: int = 1 << 26,
+) -> dict[str, DataFrame]:
+    """Write every enabled subset, clustered by company and year, and return the written tables.
+
+    What any subset needs is dealt out and sorted once, ``rows_at_once`` by ranges of companies, so that the disk
+    for shuffles is bounded; the subsets are read from that and not shuffled again.
+    """
+    chosen = [s for s in subsets if s.enabled]
+    spark, marks = fact.sparkSession, {}
+    tagged = fact
+    for name in dict.fromkeys(s.companies for s in chosen):
+        marks[name] = f"_listed_{len(marks)}"
+        tagged = tagged_by_keys(tagged, companies[name], "cik_int", marks[name])
+    wanted = {s.name: F.col(marks[s.companies]) & temporal_condition(s.temporal_filter, bins) for s in chosen}
+    needed = cut_lineage(tagged.where(reduce(lambda a, b: a | b, wanted.values(), F.lit(False))))
+    order = [F.col("cik_int"), F.col("report_year").desc(), F.col("section"), F.col("sentenceID")]
+    passes = max(1, math.ceil(needed.count() / rows_at_once))
+    edges = sorted(set(needed.approxQuantile("cik_int", [i / passes for i in range(1, passes)], 0.1 / passes))) if passes > 1 else []
+    turn = sum(((F.col("cik_int") >= F.lit(int(e))).cast("int") for e in edges), F.lit(0))
+    parts = []
+    for i in range(len(edges) + 1):
+        part = needed.where(F.coalesce(turn, F.lit(0)) == i) if edges else needed
+        parts.append(cut_lineage(part.repartitionByRange("cik_int", "report_year", "sentenceID").sortWithinPartitions(*order)))
+    drop_stage(needed)
+    placed = reduce(DataFrame.unionByName, parts)
     out = {}
-    for s in subsets:
-        if not s.enabled:
-            continue
-        rows = semi(fact.filter(temporal_condition(s.temporal_filter, bins)), companies[s.companies], "cik_int")
-        ordered = rows.repartitionByRange("cik_int", "report_year", "sentenceID").sortWithinPartitions(
-            F.col("cik_int"), F.col("report_year").desc(), F.col("section"), F.col("sentenceID")
-        )
-        out[s.name] = fact.sparkSession.read.parquet(write_parquet(ordered, f"{folder}/{s.name}"))
+    for name, condition in wanted.items():
+        rows = placed.where(condition).select(*fact.columns).sortWithinPartitions(*order)
+        out[name] = spark.read.parquet(write_parquet(rows, f"{folder}/{name}"))
+    drop_stage(placed)
     return out
 
 
