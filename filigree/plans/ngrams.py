@@ -134,21 +134,33 @@ def _placed(blocks: DataFrame, tasks: int) -> DataFrame:
 def _weighed(placed: DataFrame, min_df: int, max_df: float) -> DataFrame:
     """The vocabulary ``(seed, n, h, df)`` as lists, and for each block the part of its documents' squared lengths.
 
-    A task holds the n-grams of one range of hashes; their number was counted when the ranges were set.
+    A task holds the n-grams of one range of hashes, whose number was counted when the ranges were set, and the squares
+    of one block at a time; it gives those of the documents that have one of its n-grams.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        names = ["seed", "n", "h", "df", "block", "squares"]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+        names = ["seed", "n", "h", "df", "block", "squares", "at"]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary()]
+
+        def out(block, total):
+            """One block's squares; of few documents with their places, so that they need no more room than its n-grams."""
+            at = np.flatnonzero(total)
+            few = 2 * len(at) < len(total)
+            row = [None, len(total), None, None, block, (total[at] if few else total).tobytes(), at.astype(np.uint16).tobytes() if few else None]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
+
         rows, packed = [], {c: [] for c in ("h", "d", "tf", "c")}
         for batch in batches:
             rows += zip(*(batch.column(c).to_pylist() for c in ("block", "seed", "n", "docs")), strict=True)
             for c, kind in (("h", np.int64), ("d", np.uint16), ("tf", np.int32), ("c", np.int64)):
                 packed[c] += [None if x is None else np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]
+            del batch
         if not rows:
             return
+        by_block = sorted(range(len(rows)), key=lambda i: rows[i][0])
+        rows, packed = [rows[i] for i in by_block], {c: [x[i] for i in by_block] for c, x in packed.items()}
         lengths = np.array([len(x) for x in packed["h"]])
         h = np.concatenate(packed.pop("h"))
         copies = np.concatenate([np.ones(k, np.int64) if x is None else x for x, k in zip(packed.pop("c"), lengths, strict=True)])
@@ -164,23 +176,24 @@ def _weighed(placed: DataFrame, min_df: int, max_df: float) -> DataFrame:
         weight = np.empty(len(h))
         weight[order] = np.repeat(idf, np.diff(np.append(firsts, len(h))))
         terms = h[order[firsts]]
+        del h, copies, order, new, first_row
         for seed in np.unique(seeds[known]):
             mine = known & (seeds == seed)
-            row = [[int(seed)], [int(sizes[mine][0])], [terms[mine]], [df[mine]], [None], [None]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=names)
-        squares, start = {}, 0
+            mine = np.flatnonzero(mine)
+            for start in range(0, len(mine), 1 << 16):
+                some = mine[start : start + (1 << 16)]
+                row = [[int(seed)], [int(sizes[some[0]])], [terms[some]], [df[some]], [None], [None], [None]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=names)
+        own, total, start = None, 0, 0
         for (block, _, _, docs), d, tf, k in zip(rows, packed["d"], packed["tf"], lengths, strict=True):
+            if block != own and own is not None:
+                yield out(own, total)
             w = weight[start : start + k] * tf
-            squares[block] = squares.get(block, 0) + np.bincount(d, w * w, docs)
-            start += k
-        listed = list(squares)
-        for start in range(0, len(listed), 256):
-            mine = listed[start : start + 256]
-            none = [[None] * len(mine)] * 4
-            row = [*none, mine, [squares[b].tobytes() for b in mine]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=names)
+            total = np.bincount(d, w * w, docs) + (total if block == own else 0)
+            own, start = block, start + k
+        yield out(own, total)
 
-    return placed.mapInArrow(run, "seed bigint, n bigint, h array<bigint>, df array<bigint>, block bigint, squares binary")
+    return placed.mapInArrow(run, "seed bigint, n bigint, h array<bigint>, df array<bigint>, block bigint, squares binary, at binary")
 
 
 def _lengths(parts: DataFrame) -> DataFrame:
@@ -192,12 +205,12 @@ def _lengths(parts: DataFrame) -> DataFrame:
         block, total = None, 0
         out = lambda: pa.RecordBatch.from_arrays([pa.array([block]), pa.array([np.sqrt(total).tobytes()], pa.binary())], names=["block", "length"])
         for batch in batches:
-            for b, x in zip(batch.column("block").to_pylist(), batch.column("squares").to_pylist(), strict=True):
+            for b, n, x, at in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "squares", "at")), strict=True):
                 if b != block:
                     if block is not None:
                         yield out()
-                    block, total = b, 0
-                total = total + np.frombuffer(x)
+                    block, total = b, np.zeros(n)
+                total[slice(None) if at is None else np.frombuffer(at, np.uint16)] += np.frombuffer(x)
         if block is not None:
             yield out()
 
@@ -263,7 +276,7 @@ def _named(found: DataFrame, sizes: Sequence[int]) -> DataFrame:
 
 def top_ngrams(
     df: DataFrame, by: str, text: str, k: int = 25, min_df: int = 5, max_df: float = 0.6,
-    sizes: Sequence[int] = (1, 2), sample: int | None = None, seed: int = 13, pairs_per_task: int = 1 << 22, at_once: int = 1 << 14,
+    sizes: Sequence[int] = (1, 2), sample: int | None = None, seed: int = 13, pairs_per_task: int = 1 << 21, at_once: int = 1 << 14,
 ) -> DataFrame:
     """The ``k`` n-grams with the highest mean TF-IDF per group.
 
@@ -287,7 +300,7 @@ def top_ngrams(
     pairs = blocks.agg(F.sum("pairs")).first()[0] or 0
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / pairs_per_task))
     weighed = cut_lineage(_weighed(_placed(blocks, tasks), min_df, max_df))
-    lengths = cut_lineage(_lengths(weighed.where("block is not null").select("block", "squares")))
+    lengths = cut_lineage(_lengths(weighed.where("block is not null").select("block", "n", "squares", "at")))
     small = (groups.agg(F.sum("texts")).first()[0] or 0) * 8 <= 1 << 26
     ready = blocks.join(F.broadcast(lengths) if small else by_shuffle(lengths), "block")
 

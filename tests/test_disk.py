@@ -12,6 +12,7 @@ from filigree.functions.bins import Bin
 from filigree.operators.joins import split_by_keys, tagged_by_keys
 from filigree.operators.keyed import first_by_key, first_of_repeated, upsert
 from filigree.plans import merge as m
+from filigree.plans import ngrams
 from filigree.plans.sections import dim_sections
 from filigree.plans.subsets import Subset, run_subsets
 from filigree.plans.vectors import suppress_near_vectors
@@ -112,3 +113,15 @@ def test_increment_is_numbered_before_it_is_filled(spark, monkeypatch):
     staged = m.stage_increment(new, dim_sections(spark), target, {}, "x")
     assert [(r.sample_id, r.sentenceID, r.sec_dim_priority) for r in staged.orderBy("sample_id").collect()] == [(8, "s1", "P3"), (9, "s2", "P1")]
     assert "row_hash" not in moved[0] and "section_desc" not in moved[0]
+
+
+def test_a_range_of_ngrams_gives_only_its_documents(spark):
+    texts = [(i, 7, 200, 1, f"alpha{i} beta{i % 9} gamma{i % 50}") for i in range(200)]
+    docs = spark.createDataFrame(texts, "no bigint, seed bigint, n bigint, copies bigint, text string").coalesce(1)
+    blocks = ngrams._blocks(docs, (1,))
+    found = {tasks: ngrams._weighed(ngrams._placed(blocks, tasks), 1, 1.0) for tasks in (1, 16)}
+    parts = found[16].where("block is not null")
+    assert parts.count() > 8 and parts.agg(F.sum(F.length("squares"))).first()[0] < 16 * 200 * 8 / 2
+    lengths = [ngrams._lengths(f.where("block is not null").select("block", "n", "squares", "at")).collect() for f in found.values()]
+    one, many = ([memoryview(r.length).cast("d").tolist() for r in x] for x in lengths)
+    assert [len(x) for x in one] == [200] and many[0] == pytest.approx(one[0])
